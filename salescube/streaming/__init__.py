@@ -1,0 +1 @@
+"""Empty on purpose: every job of this engine is a batch job, see the README."""

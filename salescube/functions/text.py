@@ -49,7 +49,8 @@ def spaced(number: Column, places: int) -> Column:
 
 
 def signed(number: Column, places: int = 4) -> Column:
-    return F.format_string(f"%+.{places}f", number)
+    """Number with its sign; null stays null."""
+    return F.when(number.isNotNull(), F.format_string(f"%+.{places}f", number))
 
 
 def change_text(previous: Column, current: Column, form: str) -> Column:

@@ -275,30 +275,30 @@ def price_points_sql(
             JOIN {skus} p USING (global_sku_code)
             JOIN {stores} n USING (global_pos_code)
             JOIN {networks} m USING (global_pos_code)
-            WHERE f.week_start_date BETWEEN {first} AND {last}
+            WHERE f.week_start_date BETWEEN :first AND :last
             GROUP BY ALL
         ),
         kept_stores AS (
             SELECT network_subname, global_sku_code, global_pos_code
             FROM store_weeks
             GROUP BY ALL
-            HAVING count(*) > floor({active_share} * {weeks})
+            HAVING count(*) > floor(:active_share * :weeks)
         ),
         limits AS (
-            SELECT network_subname, global_sku_code, round({coverage_share} * {weeks} * count(*), 0) AS akb_limit
+            SELECT network_subname, global_sku_code, round(:coverage_share * :weeks * count(*), 0) AS akb_limit
             FROM kept_stores
             GROUP BY ALL
         ),
         binned AS (
             SELECT network_subname, global_sku_code,
-                   floor(try_divide(CAST(rub AS double), CAST(kg AS double)) / {width}) * CAST({width} AS double) AS low,
+                   floor(try_divide(CAST(rub AS double), CAST(kg AS double)) / :width) * CAST(:width AS double) AS low,
                    kg
             FROM store_weeks
             LEFT SEMI JOIN kept_stores USING (network_subname, global_sku_code, global_pos_code)
         )
         SELECT b.network_subname, b.global_sku_code,
-               b.low + {width} / 2 AS price_bin,
-               concat(CAST(CAST(b.low AS bigint) AS string), '-', CAST(CAST(b.low + {width} AS bigint) AS string))
+               b.low + :width / 2 AS price_bin,
+               concat(CAST(CAST(b.low AS bigint) AS string), '-', CAST(CAST(b.low + :width AS bigint) AS string))
                    AS price_bin_range,
                sum(b.kg) AS kg,
                count(*) AS akb,
@@ -309,7 +309,9 @@ def price_points_sql(
         GROUP BY b.network_subname, b.global_sku_code, b.low, l.akb_limit
         HAVING count(*) >= l.akb_limit
         """,
+        args={
+            "first": first, "last": last, "weeks": weeks, "width": float(width), "active_share": float(active_share),
+            "coverage_share": F.lit(coverage_share).cast("decimal(6,4)"),
+        },
         fact=fact, skus=skus, stores=stores, networks=networks,
-        first=F.lit(first), last=F.lit(last), weeks=F.lit(weeks), width=F.lit(float(width)),
-        active_share=F.lit(float(active_share)), coverage_share=F.lit(coverage_share).cast("decimal(6,4)"),
     )

@@ -77,10 +77,10 @@ def report_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sales_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The finished report of all networks, written and read back."""
-    finished = report.build(stored_rollup(spark, sf_dir), OWN_PRODUCER)
+    finished = as_doubles(report.build(stored_rollup(spark, sf_dir), OWN_PRODUCER))
     path = new_path(spark, "report")
-    report.write(as_doubles(finished), path)
-    return spark.read.schema(as_doubles(finished).schema).parquet(path)
+    report.write(finished, path)
+    return spark.read.schema(finished.schema).parquet(path)
 
 
 def iso_week_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,12 +45,8 @@ def price_per_kg(rub: Column | str, kg: Column | str) -> Column:
 
 def as_doubles(df: DataFrame) -> DataFrame:
     """Decimal columns as doubles, for results handed to a user or a file."""
-    return df.select(
-        *[
-            F.col(f"`{f.name}`").cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f"`{f.name}`")
-            for f in df.schema.fields
-        ]
-    )
+    decimals = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DecimalType)]
+    return df.withColumns({name: F.col(f"`{name}`").cast("double") for name in decimals})
 
 
 def _column(column: Column | str) -> Column:

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 
 def magnitude(amount: Column | str) -> Column:
-    """Bucket number that never falls as the amount grows: quarter-octaves of the value, mirrored below zero."""
+    """Bucket number that never falls as the amount grows: quarter-octaves, mirrored below zero, zero on its own."""
     amount = (F.col(amount) if isinstance(amount, str) else amount).cast("double")
-    steps = F.floor(F.log2(F.abs(amount) + 1) * 4).cast("int")
-    return F.when(amount < 0, -steps - 1).otherwise(steps)
+    steps = F.floor(F.log2(F.abs(amount) + 1) * 4).cast("int") + 1
+    return F.when(amount == 0, 0).when(amount < 0, -steps).otherwise(steps)
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:

@@ -11,6 +11,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salescube.functions.measures import ratio
 from salescube.functions.text import CHANGE_FORMS, change_text
 
 # Names of comparisons, aggregates and the totals row.
@@ -56,7 +57,7 @@ def _pair(current: date, value: str, period: str, aggregate: str) -> tuple[Colum
         year = F.year(month)
         parts = [F.when(to_date & (year == y), v) for y in (current.year - 1, current.year)]
         if aggregate == "mean":
-            return tuple(F.avg(p.cast("double")) for p in parts)
+            return tuple(ratio(F.sum(p), F.count(p)) for p in parts)
         return tuple(F.coalesce(F.sum(p).cast("double"), F.lit(0.0)) for p in parts)
     back = 1 if period == "m_on_m" else 12
     return tuple(F.sum(F.when(month == F.add_months(now, -n), v)).cast("double") for n in (back, 0))

@@ -7,6 +7,7 @@ One shuffle brings store-weeks together, one the weeks of a store; all later ste
 from __future__ import annotations
 
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -311,7 +312,7 @@ def price_points_sql(
         """,
         args={
             "first": first, "last": last, "weeks": weeks, "width": float(width), "active_share": float(active_share),
-            "coverage_share": F.lit(coverage_share).cast("decimal(6,4)"),
+            "coverage_share": Decimal(str(coverage_share)),
         },
         fact=fact, skus=skus, stores=stores, networks=networks,
     )

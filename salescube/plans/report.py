@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salescube.functions.dates import iso_week_label, month_title
+from salescube.functions.dates import month_title
 from salescube.functions.measures import price_per_kg, ratio, round_even
 from salescube.functions.sizing import bounded_broadcast
 from salescube.functions.text import roman
@@ -193,7 +193,8 @@ def numbered(report_rows: DataFrame) -> DataFrame:
         buckets={
             **{k: F.col(k) for k in section},
             "bucket_3m": magnitude("sales_3m"),
-            "bucket_all": magnitude("sales_all"),
+            # products without trailing sales tie in the first bucket, so all-time sales cut that one further
+            "bucket_all": F.when(F.col("sales_3m") == 0, magnitude("sales_all")).otherwise(0),
         },
         bucket_order=[*by_name, F.col("bucket_3m").desc(), F.col("bucket_all").desc()],
         order=[
@@ -223,19 +224,16 @@ def period_list(rollup: DataFrame) -> list[date]:
 
 
 def pivoted(report_cells: DataFrame, periods: list[date]) -> DataFrame:
-    """Metric-major wide rows: all periods of the first metric, then of the next. Rows without any value are left out.
+    """Metric-major wide rows: all periods of the first metric, then of the next.
 
-    A period in which a network has no value stays as an empty column, so all metrics keep the same columns.
+    Cells without any value are left out before the pivot, and with them the rows that hold nothing else. A period in
+    which a network has no value stays as an empty column, so all metrics keep the same columns.
     """
-    wide = (
-        report_cells.groupBy(*_CELL_KEYS)
-        .pivot("period", periods)
-        .agg(*[F.max(m).alias(m) for m in METRICS])
-    )
-    columns = {(p, m): f"`{p.isoformat()}_{m}`" for p in periods for m in METRICS}
-    values = [F.col(columns[p, m]).alias(f"{m}_{p.isoformat()}") for m in METRICS for p in periods]
-    ordered = wide.select(*_CELL_KEYS, *values)
-    return ordered.dropna(how="all", subset=[f"`{m}_{p.isoformat()}`" for m in METRICS for p in periods])
+    valued = report_cells.where(F.coalesce(*METRICS).isNotNull())
+    wide = valued.groupBy(*_CELL_KEYS).pivot("period", periods).agg(*[F.max(m).alias(m) for m in METRICS])
+    period_major = [f"{m}_{p.isoformat()}" for p in periods for m in METRICS]
+    metric_major = [f"`{m}_{p.isoformat()}`" for m in METRICS for p in periods]
+    return wide.toDF(*_CELL_KEYS, *period_major).select(*_CELL_KEYS, *metric_major)
 
 
 def build(
@@ -272,11 +270,13 @@ def labelled(wide: DataFrame, periods: list[date], weekly: bool = False) -> Data
     return wide.select(_NET, "position", F.col("number").alias("№ п/п"), *renamed, *values)
 
 
-def write(report: DataFrame, path: str) -> None:
-    """One directory per network."""
-    report.write.mode("overwrite").option("compression", "zstd").partitionBy(_NET).parquet(path)
-
-
-def week_labels(df: DataFrame, column: str = "week_start_date") -> DataFrame:
-    """Distinct weeks with their ISO labels."""
-    return df.select(column).distinct().withColumn("week_label", iso_week_label(column))
+def write(report: DataFrame, path: str, files_per_network: int = 1) -> None:
+    """One directory per network; a large network is written by several tasks."""
+    salt = F.pmod(F.col("position"), F.lit(files_per_network))
+    (
+        report.repartition(F.col(_NET), salt)
+        .write.mode("overwrite")
+        .option("compression", "zstd")
+        .partitionBy(_NET)
+        .parquet(path)
+    )

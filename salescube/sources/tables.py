@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salescube.operators.checks import InputError, not_null
 from salescube.schemas import RETAIL_SALES, ROLLUP
+from salescube.sources.scratch import stage
 
 
 def append_sales(raw: DataFrame, path: str, files_per_month: int = 1) -> None:
@@ -67,30 +68,27 @@ def replace_slices(
 ) -> None:
     """Replace exactly the (key) slices present in the result and leave every other slice as it is.
 
-    The result is computed once. The write is staged and swapped in on commit, so a failed job leaves the old slices;
-    a row outside the `requested` key values fails the job. An empty result replaces nothing and is reported as an
-    error. Running it twice gives the same table.
+    The result is staged first, so it is computed once and checked whole: an empty result, or a slice outside the
+    `requested` key values, is refused before anything is replaced. The replacement itself is swapped in on commit, so a
+    failed job leaves the old slices. Running it twice gives the same table.
     """
-    allowed = requested or {}
-    checked = result.withColumns({k: _only(k, result.schema[k].dataType, values) for k, values in allowed.items()})
-    written = Observation()
-    salt = F.pmod(F.xxhash64(*[c for c in result.columns if c not in keys]), F.lit(files_per_slice))
+    staged = stage(result, "slices")
+    found = staged.select(*keys).distinct().collect()  # one row per month and network
+    if not found:
+        raise InputError("nothing to store: the new slices are empty")
+    for key, allowed in (requested or {}).items():
+        strangers = sorted({str(row[key]) for row in found if row[key] not in allowed})
+        if strangers:
+            raise InputError(f"the result holds {key} values that were not requested: {', '.join(strangers)}")
+    salt = F.pmod(F.xxhash64(*[c for c in staged.columns if c not in keys]), F.lit(files_per_slice))
     (
-        checked.observe(written, F.count(F.lit(1)).alias("rows"))
-        .repartition(*[F.col(k) for k in keys], salt)
+        staged.repartition(*[F.col(k) for k in keys], salt)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .partitionBy(*keys)
         .parquet(path)
     )
-    if not written.get["rows"]:
-        raise InputError("nothing stored: the new slices are empty")
-
-
-def _only(key: str, kind: T.DataType, values: list) -> Column:
-    stranger = F.concat(F.lit(f"{key} was not requested: "), F.col(key).cast("string"))
-    return F.when(F.col(key).isin(values), F.col(key)).otherwise(F.raise_error(stranger).cast(kind))
 
 
 def insert_aligned(df: DataFrame, target: T.StructType = ROLLUP) -> DataFrame:

@@ -32,13 +32,14 @@ def measure_bytes(*frames: DataFrame) -> list[int]:
     return [found[i] for i in range(len(frames))]
 
 
-def bounded_broadcast(*frames: DataFrame, max_bytes: int = BROADCAST_BYTES) -> list[DataFrame]:
+def bounded_broadcast(*frames: DataFrame, max_bytes: int | None = None) -> list[DataFrame]:
     """Mark each frame for broadcast when it is measured below the bound.
 
     A larger frame comes back unmarked: the join is then a shuffle join, whose hot keys adaptive execution
     splits. The caller's plan is the same in both cases.
     """
+    bound = BROADCAST_BYTES if max_bytes is None else max_bytes
     return [
-        F.broadcast(df) if size <= max_bytes else df
+        F.broadcast(df) if size <= bound else df
         for df, size in zip(frames, measure_bytes(*frames), strict=True)
     ]

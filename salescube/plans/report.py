@@ -70,9 +70,17 @@ def with_metrics(rollup: DataFrame) -> DataFrame:
     )
 
 
+def _by_report_row(df: DataFrame) -> DataFrame:
+    """Bring the periods of a report row together once; every aggregate over the row's keys then needs no further shuffle.
+
+    A report row has at most one rollup row per period and network, so no partition can grow hot.
+    """
+    return df.repartition(*_CELL_KEYS)
+
+
 def cells(rollup: DataFrame) -> DataFrame:
     """One row per report row and period; where two networks share a reporting name the larger value counts."""
-    return with_metrics(rollup).groupBy(*_CELL_KEYS, "period").agg(
+    return _by_report_row(with_metrics(rollup)).groupBy(*_CELL_KEYS, "period").agg(
         *[round_even(F.max(m), 2).alias(m) for m in METRICS]
     )
 
@@ -107,7 +115,8 @@ def rows(rollup: DataFrame, heads: DataFrame | None = None) -> DataFrame:
     heads = header(rollup) if heads is None else heads
     (spans,) = bounded_broadcast(heads.select(_NET, "trailing_start", "last_period"))
     money = round_even(F.max("sales_rub"), 2).cast(_MONEY)
-    per_period = rollup.groupBy(*_CELL_KEYS, "report_date").agg(money.alias("rub"))
+    sales = _by_report_row(rollup.select(*_CELL_KEYS, "report_date", "sales_rub"))
+    per_period = sales.groupBy(*_CELL_KEYS, "report_date").agg(money.alias("rub"))
     trailing = F.col("report_date").between(F.col("trailing_start"), F.col("last_period"))
     summed = (
         per_period.join(spans, _NET)

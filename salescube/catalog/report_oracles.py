@@ -177,7 +177,33 @@ _TOTALLED = """totalled AS (
   SELECT category, producer, false AS is_total, period, value FROM book
   UNION ALL SELECT 'Итого', NULL, true, period, sum(value) FROM book GROUP BY period)"""
 
+_PRODUCT_LABELS = {
+    "category": "Категория", "segment": "Сегмент", '"group"': "Товарная группа", "brand": "Бренд",
+    "producer": "Производитель", "label": "Наименование",
+}
+_METRIC_LABELS = [
+    "АКБ", "Оборачиваемость, шт/ТТ", "РТО, руб/ТТ", "ТО, шт", "ТО, кг", "Цена за шт", "Цена за кг", "ТО, руб.",
+]
+_PRINTED = ", ".join(
+    f"max({m}) FILTER (WHERE period = DATE '{p}') AS \"{label} {p:%Y-%m}\""
+    for m, label in zip(METRICS, _METRIC_LABELS) for p in MONTHS
+)
+
 ORACLES = {
+    "printed_report": f"""WITH {_MONTHLY}, {_TOP}, {_NUMBERED},
+        wide AS (SELECT {_ROW}, {_PRINTED} FROM cells GROUP BY ALL)
+        SELECT w.network_subname, n.position, coalesce(n.number, '') AS "№ п/п",
+               {', '.join(f"""coalesce(n.{c}, '') AS "{label}" """ for c, label in _PRODUCT_LABELS.items())},
+               w.weight AS "Вес", w.* EXCLUDE ({_ROW})
+        FROM wide w
+        JOIN numbered n ON {' AND '.join(f'w.{k.strip()} IS NOT DISTINCT FROM n.{k.strip()}' for k in _ROW.split(','))}""",
+    "date_texts": f"""
+        SELECT strftime(day, '%d.%m.%Y') AS written, day, {_month_name('day')} AS month_title,
+               CAST(CASE WHEN day(day) = 1 THEN day ELSE date_trunc('month', day) + INTERVAL 1 MONTH END AS date)
+                   AS next_month,
+               strftime(day, '%Y.%m.%d') || '-' ||
+                   strftime(CAST(date_trunc('week', day + 6) AS date), '%Y.%m.%d') AS span
+        FROM (SELECT DISTINCT CAST(l_shipdate AS date) AS day FROM lineitem)""",
     "derived_metrics": f"WITH {_MONTHLY} SELECT * FROM cells",
     "report_header": f"WITH {_MONTHLY} {_HEADER.format(frequency='Месяц')}",
     "report_header_weekly": f"WITH {_WEEKLY} {_HEADER.format(frequency='Неделя')}",

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescube.catalog.rollup_queries import build_rollup, stored_rollup
-from salescube.catalog.star import fine_star
-from salescube.functions.dates import iso_week_label
+from salescube.catalog.star import fine_star, table
+from salescube.functions.dates import (
+    day_span, iso_week_label, monday_on_or_after, month_on_or_after, month_title, parse_day_column,
+)
 from salescube.functions.measures import as_doubles
 from salescube.operators.star import fold_sales
 from salescube.plans import databook, report
@@ -83,6 +85,24 @@ def sales_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(finished.schema).parquet(path)
 
 
+def printed_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The finished report under its printed column names."""
+    rollup = stored_rollup(spark, sf_dir)
+    periods = report.period_list(rollup)
+    return report.labelled(report.build(rollup, OWN_PRODUCER, periods), periods)
+
+
+def date_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every day of sales written as DD.MM.YYYY and parsed back, with its month title and the span of its week."""
+    day = table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("day")).distinct()
+    parsed = day.select(F.date_format("day", "dd.MM.yyyy").alias("written")).withColumn("day", parse_day_column("written"))
+    monday = monday_on_or_after(F.col("day"))
+    return parsed.select(
+        "written", "day", month_title("day").alias("month_title"), month_on_or_after(F.col("day")).alias("next_month"),
+        day_span(F.col("day"), monday).alias("span"),
+    )
+
+
 def iso_week_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = fine_star(spark, sf_dir).fact
     return as_doubles(
@@ -154,6 +174,8 @@ QUERIES = {
     "report_numbering": report_numbering,
     "report_pivot": report_pivot,
     "sales_report": sales_report,
+    "printed_report": printed_report,
+    "date_texts": date_texts,
     "iso_week_labels": iso_week_labels,
     "totals_row": totals_row,
     "change_mom": _changes("m_on_m"),

@@ -80,9 +80,11 @@ def _by_report_row(df: DataFrame) -> DataFrame:
 
 def cells(rollup: DataFrame) -> DataFrame:
     """One row per report row and period; where two networks share a reporting name the larger value counts."""
-    return _by_report_row(with_metrics(rollup)).groupBy(*_CELL_KEYS, "period").agg(
-        *[round_even(F.max(m), 2).alias(m) for m in METRICS]
-    )
+    return _largest(_by_report_row(with_metrics(rollup)), _CELL_KEYS)
+
+
+def _largest(metrics: DataFrame, keys: list[str]) -> DataFrame:
+    return metrics.groupBy(*keys, "period").agg(*[round_even(F.max(m), 2).alias(m) for m in METRICS])
 
 
 def header(rollup: DataFrame) -> DataFrame:
@@ -232,17 +234,18 @@ def period_list(rollup: DataFrame) -> list[date]:
     return [r["report_date"] for r in found.collect()]
 
 
-def pivoted(report_cells: DataFrame, periods: list[date]) -> DataFrame:
+def pivoted(report_cells: DataFrame, periods: list[date], keys: list[str] | None = None) -> DataFrame:
     """Metric-major wide rows: all periods of the first metric, then of the next.
 
     Cells without any value are left out before the pivot, and with them the rows that hold nothing else. A period in
     which a network has no value stays as an empty column, so all metrics keep the same columns.
     """
+    keys = _CELL_KEYS if keys is None else keys
     valued = report_cells.where(F.coalesce(*METRICS).isNotNull())
-    wide = valued.groupBy(*_CELL_KEYS).pivot("period", periods).agg(*[F.max(m).alias(m) for m in METRICS])
+    wide = valued.groupBy(*keys).pivot("period", periods).agg(*[F.max(m).alias(m) for m in METRICS])
     period_major = [f"{m}_{p.isoformat()}" for p in periods for m in METRICS]
     metric_major = [f"`{m}_{p.isoformat()}`" for m in METRICS for p in periods]
-    return wide.toDF(*_CELL_KEYS, *period_major).select(*_CELL_KEYS, *metric_major)
+    return wide.toDF(*keys, *period_major).select(*keys, *metric_major)
 
 
 def build(
@@ -253,12 +256,15 @@ def build(
 ) -> DataFrame:
     """The finished report of every network, one row per line and in `position` order within a network.
 
-    The narrow rows are staged once, since pruning, marking and numbering each read them.
+    The narrow rows are staged once, since pruning, marking and numbering each read them. The finished line is attached
+    to the long rows and the pivot groups by it, so no wide row is ever shuffled or joined.
     """
     periods = period_list(rollup) if periods is None else periods
     narrow = stage(rows(rollup), "report-rows")
     final = numbered(marked(pruned(narrow, by=by), own_producer))
-    wide = join_null_safe(final, pivoted(cells(rollup), periods), _CELL_KEYS)
+    lines = join_null_safe(with_metrics(rollup), final, _CELL_KEYS).repartition(_NET, "position")
+    keys = [*_CELL_KEYS, *[c for c in final.columns if c not in _CELL_KEYS]]
+    wide = pivoted(_largest(lines, keys), periods, keys)
     text = [f.name for f in wide.schema.fields if isinstance(f.dataType, T.StringType)]
     return wide.na.fill("", subset=text)
 

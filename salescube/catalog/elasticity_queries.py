@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from salescube.catalog.star import Star, coarse_star
 from salescube.functions.measures import as_doubles
 from salescube.plans import elasticity
+from salescube.sources.scratch import stage
 
 # Prices of the test tables run from 20 to 105,000 per kilogram.
 WIDTH = 500
@@ -63,12 +64,14 @@ def store_kept_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def semi_join_kept_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = study(spark, sf_dir)
-    return as_doubles(elasticity.kept_sales(s.weekly(), elasticity.store_list(s.weekly(), s.weeks)))
+    weekly = stage(s.weekly(), "store-weeks")
+    return as_doubles(elasticity.kept_sales(weekly, elasticity.store_list(weekly, s.weeks)))
 
 
 def anti_join_dropped_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = study(spark, sf_dir)
-    return as_doubles(elasticity.dropped_sales(s.weekly(), elasticity.store_list(s.weekly(), s.weeks)))
+    weekly = stage(s.weekly(), "store-weeks")
+    return as_doubles(elasticity.dropped_sales(weekly, elasticity.store_list(weekly, s.weeks)))
 
 
 def price_bins_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,8 +22,8 @@ class Star:
 
     @property
     def full_fact(self) -> DataFrame:
-        stores = self.base_sales_point.select("global_pos_code", "network_name", "network_subname")
-        return self.fact.join(F.broadcast(stores), "global_pos_code").select(
+        (stores,) = bounded_broadcast(self.base_sales_point.select("global_pos_code", "network_name", "network_subname"))
+        return self.fact.join(stores, "global_pos_code").select(
             "month_year", "week_start_date", "network_name", "network_subname",
             "global_sku_code", "global_pos_code", "pieces", "sales_rub",
         )

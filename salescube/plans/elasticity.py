@@ -17,6 +17,7 @@ from salescube.functions.measures import exact, grams, kilograms, ratio, round_e
 from salescube.functions.text import range_label, signed, thousands
 from salescube.operators.regression import weighted_line
 from salescube.operators.star import in_dates, sku_names, star_join, store_dimension
+from salescube.sources.scratch import stage
 
 # Thresholds of the study.
 ACTIVE_SHARE = 0.25
@@ -30,10 +31,17 @@ STORE = [*PAIR, "global_pos_code"]
 
 def store_weeks(
     fact: DataFrame, skus: DataFrame, stores: DataFrame, networks: DataFrame, start: date, weeks: int,
-    width: float = BIN_WIDTH,
+    width: float = BIN_WIDTH, products: list[str] | None = None, subnames: list[str] | None = None,
 ) -> DataFrame:
-    """Kilograms, roubles, price and price bin by product, store and week of the window."""
+    """Kilograms, roubles, price and price bin by product, store and week of the window.
+
+    All products and reporting networks, or only the named ones; named products are filtered in the scan.
+    """
     first, last = week_range(start, weeks)
+    if products is not None:
+        fact = fact.where(F.col("global_sku_code").isin(products))
+    if subnames is not None:
+        networks = networks.where(F.col("network_subname_alt").isin(subnames))
     sales = in_dates(fact, "week_start_date", F.lit(first), F.lit(last)).select(
         "week_start_date", "global_sku_code", "global_pos_code", "pieces", "sales_rub"
     )
@@ -243,14 +251,18 @@ def study(
     fact: DataFrame, skus: DataFrame, stores: DataFrame, networks: DataFrame, start: date, weeks: int,
     width: float = BIN_WIDTH, active_share: float = ACTIVE_SHARE,
     coverage_share: float = COVERAGE_SHARE, base: str = "all",
+    products: list[str] | None = None, subnames: list[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """All result tables of the study, for every pair at once; write them with `sources.tables.write_results`."""
-    weekly = store_weeks(fact, skus, stores, networks, start, weeks, width)
-    marked = flagged(weekly, weeks, active_share, width)
+    """All result tables of the study, for every pair (or the named ones) at once; write them with `sources.tables.write_results`.
+
+    The store-weeks are staged, so the sales are scanned once however many tables are written.
+    """
+    weekly = store_weeks(fact, skus, stores, networks, start, weeks, width, products, subnames)
+    marked = stage(flagged(weekly, weeks, active_share, width), "store-weeks")
     levels = price_levels(marked, weeks, coverage_share, base)
     points = price_points(levels, width)
     return {
-        "store_list": store_list(weekly, weeks, active_share),
+        "store_list": store_list(marked, weeks, active_share),
         "store_weeks": marked.drop("first_of_store"),
         "weekly_prices": weekly_prices(marked),
         "price_levels": levels.where(F.col("price_bin").isNotNull()),
@@ -263,7 +275,10 @@ def price_points_sql(
     fact: DataFrame, skus: DataFrame, stores: DataFrame, networks: DataFrame, start: date, weeks: int,
     width: float = BIN_WIDTH, active_share: float = ACTIVE_SHARE, coverage_share: float = COVERAGE_SHARE_KEPT,
 ) -> DataFrame:
-    """The same price points as one SQL statement, for every pair; turnover is left unrounded."""
+    """The same price points as one SQL statement over one scan, for every pair; turnover is left unrounded.
+
+    Kept stores are counted by their first weeks, so the coverage limit needs no second pass over the sales.
+    """
     first, last = week_range(start, weeks)
     return fact.sparkSession.sql(
         """
@@ -279,36 +294,33 @@ def price_points_sql(
             WHERE f.week_start_date BETWEEN :first AND :last
             GROUP BY ALL
         ),
-        kept_stores AS (
-            SELECT network_subname, global_sku_code, global_pos_code
+        active AS (
+            SELECT *,
+                   count(*) OVER (PARTITION BY network_subname, global_sku_code, global_pos_code) AS wks,
+                   row_number() OVER (PARTITION BY network_subname, global_sku_code, global_pos_code
+                                      ORDER BY week_start_date) AS nth_week
             FROM store_weeks
-            GROUP BY ALL
-            HAVING count(*) > floor(:active_share * :weeks)
-        ),
-        limits AS (
-            SELECT network_subname, global_sku_code, round(:coverage_share * :weeks * count(*), 0) AS akb_limit
-            FROM kept_stores
-            GROUP BY ALL
         ),
         binned AS (
             SELECT network_subname, global_sku_code,
                    floor(try_divide(CAST(rub AS double), CAST(kg AS double)) / :width) * CAST(:width AS double) AS low,
-                   kg
-            FROM store_weeks
-            LEFT SEMI JOIN kept_stores USING (network_subname, global_sku_code, global_pos_code)
+                   sum(kg) AS kg, count(*) AS akb, count_if(nth_week = 1) AS first_weeks
+            FROM active
+            WHERE wks > floor(:active_share * :weeks)
+            GROUP BY ALL
+        ),
+        limited AS (
+            SELECT *, round(:coverage_share * :weeks
+                            * sum(first_weeks) OVER (PARTITION BY network_subname, global_sku_code), 0) AS akb_limit
+            FROM binned
         )
-        SELECT b.network_subname, b.global_sku_code,
-               b.low + :width / 2 AS price_bin,
-               concat(CAST(CAST(b.low AS bigint) AS string), '-', CAST(CAST(b.low + :width AS bigint) AS string))
+        SELECT network_subname, global_sku_code,
+               low + :width / 2 AS price_bin,
+               concat(CAST(CAST(low AS bigint) AS string), '-', CAST(CAST(low + :width AS bigint) AS string))
                    AS price_bin_range,
-               sum(b.kg) AS kg,
-               count(*) AS akb,
-               CAST(sum(b.kg) AS double) / count(*) AS turnover
-        FROM binned b
-        JOIN limits l USING (network_subname, global_sku_code)
-        WHERE b.low IS NOT NULL
-        GROUP BY b.network_subname, b.global_sku_code, b.low, l.akb_limit
-        HAVING count(*) >= l.akb_limit
+               kg, akb, CAST(kg AS double) / akb AS turnover
+        FROM limited
+        WHERE low IS NOT NULL AND akb >= akb_limit
         """,
         args={
             "first": first, "last": last, "weeks": weeks, "width": float(width), "active_share": float(active_share),

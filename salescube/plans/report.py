@@ -15,6 +15,7 @@ from salescube.functions.dates import month_title
 from salescube.functions.measures import price_per_kg, ratio, round_even
 from salescube.functions.sizing import bounded_broadcast
 from salescube.functions.text import roman
+from salescube.operators.checks import InputError
 from salescube.operators.prefix import bucketed, join_null_safe, magnitude
 from salescube.schemas import GROUP, GROUP_KEYS, PRODUCER, ROW_KEYS, SKU, TOTAL
 from salescube.sources.scratch import stage
@@ -253,13 +254,18 @@ def build(
     own_producer: str,
     periods: list[date] | None = None,
     by: tuple[str, ...] = ("group",),
+    subnames: list[str] | None = None,
 ) -> DataFrame:
-    """The finished report of every network, one row per line and in `position` order within a network.
+    """The finished report of every network (or the named ones), one row per line, numbered by `position`.
 
     The narrow rows are staged once, since pruning, marking and numbering each read them. The finished line is attached
     to the long rows and the pivot groups by it, so no wide row is ever shuffled or joined.
     """
+    if subnames is not None:
+        rollup = rollup.where(F.col(_NET).isin(subnames))
     periods = period_list(rollup) if periods is None else periods
+    if not periods:
+        raise InputError("the rollup holds no rows for this report")
     narrow = stage(rows(rollup), "report-rows")
     final = numbered(marked(pruned(narrow, by=by), own_producer))
     lines = join_null_safe(with_metrics(rollup), final, _CELL_KEYS).repartition(_NET, "position")

@@ -86,6 +86,12 @@ def test_store_activity(spark, market):
     assert kept == 11 and elasticity.dropped_sales(weekly, elasticity.store_list(weekly, 8)).count() == weekly.count() - 11
 
 
+def test_named_products_and_networks(market):
+    assert {r["global_sku_code"] for r in elasticity.store_weeks(*market, products=["w"]).collect()} == {"w"}
+    assert elasticity.store_weeks(*market, subnames=["m"]).count() == 0
+    assert elasticity.store_weeks(*market, products=["s", "w"], subnames=["n"]).count() == 14
+
+
 def test_week_numbers_keep_date_order_across_new_year(spark):
     weeks = [date(2024, 12, 23), date(2024, 12, 30), date(2025, 1, 6)]
     weekly = spark.createDataFrame(

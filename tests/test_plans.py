@@ -31,6 +31,11 @@ def test_no_python_in_the_plan(spark, name):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
+@pytest.mark.parametrize("name", ["rollup_grouping_sets", "price_points_sql", "ped_summary", "databook_table"])
+def test_sales_are_scanned_once(spark, name):
+    assert len(re.findall(r"FileScan parquet \[l_", plan(QUERIES[name](spark, SF_DIR)))) == 1
+
+
 def test_rollup_folds_before_it_joins_and_expands(spark):
     text = plan(build_rollup(fine_star(spark, SF_DIR)))
     operators = re.findall(r"(Expand|BroadcastHashJoin|SortMergeJoin|Scan parquet|FileScan parquet|HashAggregate|Exchange)", text)

@@ -5,6 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from salescube.operators.checks import InputError
 from salescube.plans import report
 from salescube.schemas import GROUP, PRODUCER, ROLLUP, SKU, TOTAL
 
@@ -124,6 +125,14 @@ def test_finished_report(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "report")).count() == 4
 
 
+def test_chosen_networks_only(spark):
+    rollup = frame(spark, [line(TOTAL, 1.0, net="a"), line(TOTAL, 2.0, net="b", month=date(2020, 1, 1))])
+    chosen = report.build(rollup, "own", subnames=["a"])
+    assert [r["network_subname"] for r in chosen.collect()] == ["a"] and "akb_2020-01-01" not in chosen.columns
+    with pytest.raises(InputError, match="no rows"):
+        report.build(rollup, "own", subnames=["c"])
+
+
 def test_largest_producer_always_stays(spark):
     rows = [line(PRODUCER, float(7 ** (i % 9)), group=f"g{i % 4}", producer=f"p{i:03}") for i in range(120)]
     lines = report.rows(frame(spark, [line(TOTAL, 1.0), *rows]))

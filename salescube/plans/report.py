@@ -258,8 +258,8 @@ def build(
 ) -> DataFrame:
     """The finished report of every network (or the named ones), one row per line, numbered by `position`.
 
-    The narrow rows are staged once, since pruning, marking and numbering each read them. The finished line is attached
-    to the long rows and the pivot groups by it, so no wide row is ever shuffled or joined.
+    The narrow rows are staged before pruning and before numbering, which each read their input more than once. The
+    finished line is attached to the long rows and the pivot groups by it, so no wide row is ever shuffled or joined.
     """
     if subnames is not None:
         rollup = rollup.where(F.col(_NET).isin(subnames))
@@ -267,7 +267,7 @@ def build(
     if not periods:
         raise InputError("the rollup holds no rows for this report")
     narrow = stage(rows(rollup), "report-rows")
-    final = numbered(marked(pruned(narrow, by=by), own_producer))
+    final = numbered(stage(marked(pruned(narrow, by=by), own_producer), "report-lines"))
     lines = join_null_safe(with_metrics(rollup), final, _CELL_KEYS).repartition(_NET, "position")
     keys = [*_CELL_KEYS, *[c for c in final.columns if c not in _CELL_KEYS]]
     wide = pivoted(_largest(lines, keys), periods, keys)

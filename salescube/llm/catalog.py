@@ -1,8 +1,10 @@
 """Registered queries of this package with their SQL."""
 
-from salescube.llm import decontamination
+from salescube.llm import decontamination, near_dedup, substring_dedup
 
 QUERIES = {
+    "op6_substring_dedup": substring_dedup.op6_substring_dedup,
+    "op4_near_dedup": near_dedup.op4_near_dedup,
     "op9_decontamination": decontamination.op9_decontamination,
 }
 ORACLES: dict[str, str] = {}

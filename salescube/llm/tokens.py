@@ -122,6 +122,14 @@ def run_hashes(words: np.ndarray, length: int) -> np.ndarray:
     return mix((sums[length:] - sums[:last + 1]) * inverse[:last + 1] + np.uint64(length))
 
 
+def span_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the words from each start to each end; equal to `run_hashes` for equal runs."""
+    powers, inverse = _powers_to(_RUN_BASE, len(words) + 1)
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * powers[:-1], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
 def runs_inside(first_words: np.ndarray, length: int) -> np.ndarray:
     """Number of runs of `length` words inside each text."""
     return np.maximum(np.diff(first_words) - length + 1, 0)

@@ -34,6 +34,7 @@ from salescube.sources.scratch import stage
 
 SLOTS, BAND = 128, 4
 _STEP = np.uint64(0xA24BAED4963EE407)
+_STEPS = np.arange(1, 1 << 10, dtype=np.uint64) * _STEP
 _GROUP = 1 << 15
 
 
@@ -51,7 +52,7 @@ def superminhash(hashes: np.ndarray, at: np.ndarray, slots: int = SLOTS) -> np.n
         for j in range(slots):
             if not len(live):
                 break
-            drawn = tokens.mix(elements[live] + np.uint64(j + 1) * _STEP)
+            drawn = tokens.mix(elements[live] + _STEPS[j])
             place = j + (((drawn & np.uint64(0xFFFFFFFF)) * np.uint64(slots - j)) >> np.uint64(32)).astype(np.int64)
             slot = order[live, place]
             order[live, place] = order[live, j]

@@ -1,8 +1,8 @@
 """Removal of word windows that occur twice or more in the corpus, by FM-indexes over shards of repeated context.
 
 Words are runs of characters other than ASCII white space, unchanged. Each of a text's windows of `window` words is routed by its
-minimizer, the smallest hash among its eight-word runs: equal windows have equal minimizers, wherever they stand. Consecutive
-windows with one minimizer make a context (their words, 28 windows at most).
+minimizer, the smallest hash among its eight-word runs (the leftmost of equals): equal windows have equal minimizers, wherever
+they stand. Consecutive windows with their minimizer at one place make a context (their words, 28 windows at most).
 
 1. One pass counts minimizers. A window whose minimizer is seen once cannot repeat; the others are live. Live minimizers go to a
    sorted store in the shared folder.
@@ -50,20 +50,17 @@ class _Contexts:
         counts = tokens.runs_inside(self.first, window)
         text = np.repeat(np.arange(len(counts)), counts)
         at = self.first[:-1][text] + tokens.ramp(counts)
-        least = tokens.run_hashes(self.words, GRAM)
+        grams = least = tokens.run_hashes(self.words, GRAM)
         span, reach = window - GRAM + 1, 1
         while reach * 2 <= span:
             least = np.minimum(least[:-reach], least[reach:]) if len(least) > reach else least[:0]
             reach *= 2
         smallest = np.minimum(least[at], least[at + span - reach]) if len(at) else np.zeros(0, np.uint64)
-        self._cut(text, at, smallest)
-
-    def _cut(self, text: np.ndarray, at: np.ndarray, smallest: np.ndarray) -> None:
         fresh = np.ones(len(at), bool)
         fresh[1:] = (text[1:] != text[:-1]) | (smallest[1:] != smallest[:-1])
+        if len(at):
+            fresh[1:] |= grams[at[:-1]] == smallest[:-1]  # the minimizer fell out on the left; an equal run follows
         begun = np.flatnonzero(fresh)
-        place = np.arange(len(at)) - np.repeat(begun, np.diff(np.r_[begun, len(at)]))
-        begun = np.flatnonzero(place % _MOST == 0)
         self.minimizer, self.low = smallest[begun], at[begun]
         self.high = at[np.r_[begun[1:], len(at)] - 1] if len(at) else at
 

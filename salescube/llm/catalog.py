@@ -1,8 +1,9 @@
 """Registered queries of this package with their SQL."""
 
-from salescube.llm import decontamination, near_dedup, substring_dedup
+from salescube.llm import decontamination, near_dedup, ngram_lm, substring_dedup
 
 QUERIES = {
+    "op1_lm_scoring": ngram_lm.op1_lm_scoring,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op4_near_dedup": near_dedup.op4_near_dedup,
     "op9_decontamination": decontamination.op9_decontamination,

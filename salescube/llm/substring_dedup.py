@@ -35,7 +35,7 @@ from salescube.sources.scratch import stage
 
 GRAM = 8
 WINDOW = 35
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 500_000
 HOT = 20_000
 STORE_KEYS = 4_000_000
 _MOST = 28

@@ -1,8 +1,10 @@
 """Registered queries of this package with their SQL."""
 
-from salescube.llm import decontamination, near_dedup, ngram_lm, substring_dedup
+from salescube.llm import decontamination, language_id, near_dedup, ngram_lm, piece_codec, substring_dedup
 
 QUERIES = {
+    "op3_language_id": language_id.op3_language_id,
+    "op7_sentencepiece": piece_codec.op7_sentencepiece,
     "op1_lm_scoring": ngram_lm.op1_lm_scoring,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op4_near_dedup": near_dedup.op4_near_dedup,

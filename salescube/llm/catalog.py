@@ -1,8 +1,9 @@
 """Registered queries of this package with their SQL."""
 
-from salescube.llm import decontamination, language_id, near_dedup, ngram_lm, piece_codec, substring_dedup
+from salescube.llm import decontamination, language_id, near_dedup, ngram_lm, piece_codec, substring_dedup, toxicity
 
 QUERIES = {
+    "op2_toxicity": toxicity.op2_toxicity,
     "op3_language_id": language_id.op3_language_id,
     "op7_sentencepiece": piece_codec.op7_sentencepiece,
     "op1_lm_scoring": ngram_lm.op1_lm_scoring,

@@ -9,13 +9,13 @@ linked if their sets' Jaccard similarity is at least `percent` / 100, decided on
    values are spread better than independent draws, and a document stops once no rank to come can lower a slot.
 3. Bands of four slots are bucket keys. A pair at 0.8 shares none of 32 bands with probability 5e-8.
 4. Every member of a bucket is verified against the bucket's smallest class. Components of these links settle most buckets.
-5. In buckets that still hold several components every pair across components is a possible link. A shingle that only one of
-   these classes has is in no intersection, so a class with o other shingles can reach similarity o / (n + |partner| - o) at
-   most. This exact bound removes the edited copies that a large group piles up in a bucket; the pairs left are verified too.
+5. In buckets that still hold several components every pair across components is a possible link. What each member lacks of the
+   smallest class and adds to it, as counts and 512 bits each, bounds from above what two members share. Pairs whose bound
+   reaches the similarity are verified on the full sets; the bound is exact, so no link is lost.
 6. The components of all links are found by star contraction (`components`).
 
-No step gathers a bucket or a component in one task. Work of step 5 grows with the pairs that the bound leaves; a group of many
-classes of which each pair falls just short of the threshold by shared shingles alone is its worst case.
+No step gathers a bucket or a component in one task. Step 5 compares bits of members of one bucket in different components; a
+bucket that holds very many classes which link with nothing in it is the worst case.
 
 Defined cases: null text is empty; empty sets stay alone; a row without doc_id takes part as a copy in its class but names none
 (component_id is null, and such rows are kept, if no row of the class has an id); repeated rows each come back; an
@@ -115,6 +115,33 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(f"100 * shared >= {percent} * (total - shared)").select("u", "v").distinct()
 
 
+def _bits(name: str, sets: str) -> list[F.Column]:
+    """512 bits, in eight columns, of the elements of an array of hashes."""
+    return [F.expr(f"aggregate(filter({sets}, x -> (x & 7) = {k}), 0L, (bits, x) -> bits | shiftleft(1L, cast((x >> 3) & 63 as int)))").alias(f"{name}{k}")
+            for k in range(8)]
+
+
+def _total_bits(operation: str, name: str) -> str:
+    return " + ".join(f"bit_count(one.{name}{k} {operation} two.{name}{k})" for k in range(8))
+
+
+#: Upper bound of what two members of a bucket share, from how each differs from the bucket's hub. Of the hub they share at most
+#: what neither lacks (set bits count lacking elements or fewer); beyond it, an element both have sets the same bit in both.
+_MOST_SHARED = (
+    f"least(one.n, two.n, one.hub_n - greatest(one.lacks, two.lacks, {_total_bits('|', 'lack')}) + "
+    f"least(one.adds, two.adds, {_total_bits('&', 'add')} + least(one.adds_again, two.adds_again)))")
+
+
+def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """For pairs (u, v): how many elements of u the set v lacks, how many it adds, and the bits of both."""
+    left = sets.select(F.col("cls").alias("u"), F.col("shingles").alias("left_set"))
+    right = sets.select(F.col("cls").alias("v"), F.col("shingles").alias("right_set"))
+    both = pairs.join(left, "u").join(right, "v").select(
+        "u", "v", F.array_except("left_set", "right_set").alias("lacking"), F.array_except("right_set", "left_set").alias("added"))
+    found = both.select("u", "v", F.size("lacking").alias("lacks"), F.size("added").alias("adds"), *_bits("lack", "lacking"), *_bits("add", "added"))
+    return found.withColumn("adds_again", F.expr("adds - (" + " + ".join(f"bit_count(add{k})" for k in range(8)) + ")")).dropDuplicates(["u", "v"])
+
+
 def groups(documents: DataFrame, words: int, percent: int = 80) -> DataFrame:
     """One row per document row: doc_id, n_shingles, component_id (smallest doc_id of the group), kept."""
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -136,17 +163,14 @@ def groups(documents: DataFrame, words: int, percent: int = 80) -> DataFrame:
     found = connected(links)
 
     labelled = members.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("component", "cls")).drop("component")
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("n").alias("least_n")).where("low <> high")
-    open_members = stage(labelled.join(mixed.select("key", "least_n"), "key"), "open")
-    owners = sets.join(open_members.select("cls").distinct(), "cls", "left_semi").select("cls", F.explode("shingles").alias("shingle"))
-    alone = owners.groupBy("shingle").agg(F.min("cls").alias("cls"), F.max("cls").alias("other")).where("cls = other").groupBy("cls").count()
-    able = open_members.join(alone, "cls", "left").withColumn("o", F.col("n") - F.coalesce("count", F.lit(0))).where(
-        f"100 * o >= {percent} * (n + greatest(least_n, o) - o)").select("key", "cls", "n", "o", "label")
-    able = stage(able, "able")
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.struct("cls", "n")).alias("hub")).where("low <> high")
+    open_members = stage(labelled.join(mixed.select("key", F.col("hub.cls").alias("hub"), F.col("hub.n").alias("hub_n")), "key"), "open")
+    against = _differences(open_members.where("cls <> hub").select(F.col("hub").alias("u"), F.col("cls").alias("v")).distinct(), sets)
+    able = open_members.join(against.withColumnsRenamed({"u": "hub", "v": "cls"}), ["hub", "cls"], "left").na.fill(0)
+    able = stage(able.repartition("key"), "able")
     one, two = able.alias("one"), able.alias("two")
     across = one.join(two, F.expr(
-        "one.key = two.key and one.cls < two.cls and one.label <> two.label "
-        f"and 100 * least(one.o, two.o) >= {percent} * (one.n + two.n - least(one.o, two.o))")).select(
+        f"one.key = two.key and one.cls < two.cls and one.label <> two.label and 100 * {_MOST_SHARED} >= {percent} * (one.n + two.n - {_MOST_SHARED})")).select(
         F.col("one.cls").alias("u"), F.col("two.cls").alias("v")).distinct()
     more = stage(_links(across, sets, percent), "links")
     if not more.isEmpty():

@@ -33,7 +33,7 @@ from salescube.llm import tokens
 
 SAMPLE, SAMPLE_BYTES = 2_000, 32_000
 SIGNIFICANT, SHARE = 4.0, 0.05
-WINDOW, CLEAR, THRESHOLD = 4, 2, 0.7
+WINDOW, CLEAR, THRESHOLD = 8, 2, 0.7
 DICTIONARY_BYTES = 1 << 13
 LEVEL = 5
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")

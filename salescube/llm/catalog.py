@@ -1,8 +1,10 @@
 """Registered queries of this package with their SQL."""
 
-from salescube.llm import decontamination, language_id, near_dedup, ngram_lm, piece_codec, substring_dedup, toxicity
+from salescube.llm import decontamination, language_id, near_dedup, ngram_lm, piece_codec, quality, secret_scan, substring_dedup, toxicity
 
 QUERIES = {
+    "op5_secret_scan": secret_scan.op5_secret_scan,
+    "op8_quality_rules": quality.op8_quality_rules,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_language_id": language_id.op3_language_id,
     "op7_sentencepiece": piece_codec.op7_sentencepiece,

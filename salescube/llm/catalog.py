@@ -1,16 +1,23 @@
 """Registered queries of this package with their SQL."""
 
-from salescube.llm import decontamination, language_id, near_dedup, ngram_lm, piece_codec, quality, secret_scan, substring_dedup, toxicity
+import corpus_pipeline
+from salescube.llm import (
+    decontamination, language_id, near_dedup, ngram_lm, pii, piece_codec, quality, secret_scan, substring_dedup, toxicity,
+)
+from salescube.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {
-    "op5_secret_scan": secret_scan.op5_secret_scan,
-    "op8_quality_rules": quality.op8_quality_rules,
+    "op1_lm_scoring": ngram_lm.op1_lm_scoring,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_language_id": language_id.op3_language_id,
-    "op7_sentencepiece": piece_codec.op7_sentencepiece,
-    "op1_lm_scoring": ngram_lm.op1_lm_scoring,
-    "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op4_near_dedup": near_dedup.op4_near_dedup,
+    "op5_secret_scan": secret_scan.op5_secret_scan,
+    "op6_substring_dedup": substring_dedup.op6_substring_dedup,
+    "op7_sentencepiece": piece_codec.op7_sentencepiece,
+    "op8_quality_rules": quality.op8_quality_rules,
     "op9_decontamination": decontamination.op9_decontamination,
+    "op10_pii": pii.op10_pii,
+    "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {}

@@ -312,9 +312,10 @@ def _texts(column: pa.Array) -> list[str]:
 
 def encoded(documents: DataFrame, pieces: Pieces) -> DataFrame:
     """The documents with three more columns: n_tokens, token_ids, round_trip (decoding the ids gives the text's bytes)."""
-    width, place = len(documents.columns), documents.columns.index("text")
+    own = documents.columns
+    width, place = len(own), own.index("text")
     names = ["n_tokens", "token_ids", "round_trip"]
-    while set(names) & {c.lower() for c in documents.columns}:
+    while set(names) & {c.lower() for c in own}:
         names = [n + "_" for n in names]
 
     def run(batches):
@@ -326,7 +327,7 @@ def encoded(documents: DataFrame, pieces: Pieces) -> DataFrame:
             same = [raw[a:b].tobytes() == x for a, b, x in zip(offs[:-1].tolist(), offs[1:].tolist(), back)]
             lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
-                [*rows.columns[:width], pa.array(np.diff(at).astype(np.int32)), lists, pa.array(same)], names=[*documents.columns, *names])
+                [*rows.columns[:width], pa.array(np.diff(at).astype(np.int32)), lists, pa.array(same)], names=[*own, *names])
 
     added = [StructField(n, t) for n, t in zip(names, (IntegerType(), ArrayType(IntegerType()), BooleanType()))]
     return documents.mapInArrow(run, StructType([*documents.schema.fields, *added]))

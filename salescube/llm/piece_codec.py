@@ -122,9 +122,10 @@ class Pieces:
         self.out_starts = np.cumsum(self.out_sizes) - self.out_sizes
         self.out_bytes = np.frombuffer(b"".join(data), np.uint8)
         self.cache: dict[str, bytes] = {}
+        self.runs: dict[int, bytes] = {}
 
     def __getstate__(self):
-        return {**self.__dict__, "cache": {}}
+        return {**self.__dict__, "cache": {}, "runs": {}}
 
     def apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether the pieces of these ranks stay side by side when their characters are merged together."""
@@ -238,16 +239,16 @@ class Pieces:
         """Ids of `count` space marks in a row."""
         if not count:
             return b""
-        key = MARK * count
-        if key not in self.cache:
-            self.cache[key] = np.array([self.run_ids[p[0]] for p in _merged([MARK] * count, self.run_rank)], np.int32).tobytes()
-        return self.cache[key]
+        if count not in self.runs:
+            self.runs[count] = np.array([self.run_ids[p[0]] for p in _merged([MARK] * count, self.run_rank)], np.int32).tobytes()
+        return self.runs[count]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
         split = [t.split(" ") if t else [] for t in texts]
         if len(self.cache) > _CACHED_WORDS:
             self.cache.clear()
+            self.runs.clear()
         new = set(chain.from_iterable(split)).difference(self.cache)
         new.discard("")
         if new:

@@ -44,7 +44,7 @@ def test_equals_brute_force(spark):
     rows = list(enumerate(TEXTS)) + [(None, TEXTS[0]), (4, TEXTS[4])]
     got = secret_scan.scan(frame(spark, rows)).drop("span_list").collect()
     assert sorted(map(tuple, got), key=str) == sorted(((i, *brute(t)) for i, t in rows), key=str)
-    assert sum(r.n_entropy for r in got) >= 5
+    assert sum(r.n_entropy for r in got) >= 4
 
 
 def test_real_texts(spark):

@@ -6,9 +6,12 @@ after one warm-up (default 2; the best one counts). Results are computed in full
 
 from __future__ import annotations
 
+import atexit
 import json
 import os
+import shutil
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -35,6 +38,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = sys.argv[1:] or HEADLINE
+    shared = tempfile.mkdtemp(prefix="bench-shared-")
+    atexit.register(shutil.rmtree, shared, ignore_errors=True)
     spark = build_session(
         "salescube-bench",
         master=f"local[{cpus}]",
@@ -43,6 +48,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cpus,
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": shared,
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

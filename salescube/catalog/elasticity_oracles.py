@@ -67,17 +67,25 @@ predicted AS (
   SELECT p.*, l.slope, l.intercept, l.mean_turnover, l.points,
          exp(l.intercept + l.slope * ln(p.price_bin)) AS fitted
   FROM points p JOIN lines l USING (network_subname, global_sku_code)),
-fits AS (
+pair_fits AS (
   SELECT network_subname, global_sku_code, any_value(points) AS points, any_value(slope) AS slope,
          any_value(intercept) AS intercept, sum(kg) AS covered_kg,
          CASE WHEN any_value(slope) IS NULL THEN 'too_few_points' ELSE 'ok' END AS status,
          round_even(any_value(slope), 4) AS ped, round_even(any_value(intercept), 4) AS alpha,
          round_even(1 - sum(akb * (turnover - fitted) ** 2) / nullif(sum(akb * (turnover - mean_turnover) ** 2), 0), 4)
              AS r2,
-         round_even(sqrt(sum(akb * (turnover - fitted) ** 2) / sum(akb)), 4) AS rmse,
-         any_value(listed_kg) AS listed_kg, any_value(listed_stores) AS listed_stores,
-         any_value(kept_stores) AS kept_stores, any_value(kept_rows) AS kept_rows
-  FROM predicted GROUP BY network_subname, global_sku_code)
+         round_even(sqrt(sum(akb * (turnover - fitted) ** 2) / sum(akb)), 4) AS rmse
+  FROM predicted GROUP BY network_subname, global_sku_code),
+left_out AS (
+  SELECT network_subname, global_sku_code, count(*) AS points_left_out FROM covered
+  WHERE filter = 1 AND turnover <= 0 GROUP BY ALL),
+fits AS (
+  SELECT t.network_subname, t.global_sku_code, coalesce(points, 0) AS points, coalesce(points_left_out, 0) AS points_left_out,
+         slope, intercept, coalesce(covered_kg, 0) AS covered_kg, coalesce(status, 'no_points') AS status, ped, alpha, r2, rmse,
+         CAST(listed_kg AS double) AS listed_kg, CAST(listed_stores AS bigint) AS listed_stores,
+         CAST(kept_stores AS bigint) AS kept_stores, CAST(kept_rows AS bigint) AS kept_rows
+  FROM totals t LEFT JOIN pair_fits USING (network_subname, global_sku_code)
+  LEFT JOIN left_out USING (network_subname, global_sku_code))
 """
 
 _WEEKLY = (
@@ -108,7 +116,7 @@ ORACLES = {
         FROM flagged WHERE filter = 1 AND price_bin IS NOT NULL
         GROUP BY network_subname, global_sku_code, wk_num, week_start_date, round_even(price_kg, 2), price_bin,
                  price_bin_range""",
-    "price_levels": f"WITH {_BASE} SELECT * FROM covered",
+    "price_levels": f"WITH {_BASE} SELECT * FROM covered WHERE akb > 0 AND price_bin IS NOT NULL",
     "price_points": f"WITH {_BASE} SELECT {_POINT} FROM points",
     "price_points_kept_base": f"""WITH {_BASE}
         SELECT {_POINT.replace('price_bin,', f'price_bin + {_W} / 2 AS price_bin,', 1)} FROM limited
@@ -117,9 +125,9 @@ ORACLES = {
         SELECT network_subname, global_sku_code, price_bin + {_W} / 2 AS price_bin, price_bin_range, kg, akb,
                kg / akb AS turnover
         FROM levels WHERE akb >= {_KEPT_LIMIT} AND akb > 0 AND price_bin IS NOT NULL
-        ORDER BY price_bin""",
+        ORDER BY network_subname, global_sku_code, price_bin""",
     "ped_fit": f"""WITH {_BASE}
-        SELECT network_subname, global_sku_code, status, points, CAST(0 AS bigint) AS points_left_out, ped, alpha, r2,
+        SELECT network_subname, global_sku_code, status, points, points_left_out, ped, alpha, r2,
                rmse, covered_kg, listed_kg, listed_stores, kept_stores, kept_rows
         FROM fits""",
     "ped_predictions": f"WITH {_BASE} SELECT {_POINT}, round_even(fitted, 4) AS turnover_pred FROM predicted",
@@ -135,3 +143,15 @@ ORACLES = {
                status, ped, alpha, r2, rmse
         FROM fits f JOIN base_sku b USING (global_sku_code), span""",
 }
+
+_CHOSEN = "WHERE global_sku_code IN ('Brand#11', 'Brand#23') AND network_subname IN ('ASIA', 'EUROPE')"
+ORACLES |= {
+    "study_store_list": ORACLES["store_activity"],
+    "study_store_weeks": f"SELECT * EXCLUDE (first_of_store) FROM ({ORACLES['store_kept_flag']})",
+    "study_weekly_prices": ORACLES["price_bins_weekly"],
+    "study_price_levels": ORACLES["price_levels"],
+    "study_price_points": ORACLES["ped_predictions"],
+    "study_results": ORACLES["ped_summary"],
+    "study_of_products": f"SELECT * FROM ({ORACLES['ped_predictions']}) {_CHOSEN}",
+    "price_points_sql_of_products": f"SELECT * FROM ({ORACLES['price_points_sql']}) {_CHOSEN}",
+}

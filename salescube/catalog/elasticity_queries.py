@@ -8,13 +8,16 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescube.catalog.star import Star, coarse_star
+from salescube.catalog.star import Star, coarse_star, table
 from salescube.functions.measures import as_doubles
 from salescube.plans import elasticity
-from salescube.sources.scratch import stage
+from salescube.sources import tables
+from salescube.sources.scratch import new_path, stage
 
 # Prices of the test tables run from 20 to 105,000 per kilogram.
 WIDTH = 500
+PRODUCTS = ["Brand#11", "Brand#23"]
+NETWORKS = ["ASIA", "EUROPE"]
 
 
 @dataclass
@@ -45,7 +48,8 @@ class Study:
 
 def study(spark: SparkSession, sf_dir: str) -> Study:
     star = coarse_star(spark, sf_dir)
-    span = star.fact.agg(F.min("week_start_date").alias("first"), F.max("week_start_date").alias("last")).first()
+    week = F.date_trunc("week", "l_shipdate").cast("date")
+    span = table(spark, sf_dir, "lineitem").agg(F.min(week).alias("first"), F.max(week).alias("last")).first()
     return Study(star, span["first"], (span["last"] - span["first"]).days // 7 + 1)
 
 
@@ -79,7 +83,7 @@ def price_bins_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_doubles(study(spark, sf_dir).levels())
+    return as_doubles(elasticity.kept_levels(study(spark, sf_dir).levels()))
 
 
 def price_points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,11 +100,11 @@ def price_points_kept_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price_points_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_doubles(elasticity.price_points_sql(*study(spark, sf_dir).inputs, width=WIDTH).orderBy("price_bin"))
+    return as_doubles(elasticity.price_points_sql(*study(spark, sf_dir).inputs, width=WIDTH).orderBy(*elasticity.PAIR, "price_bin"))
 
 
 def ped_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fits = elasticity.fits(study(spark, sf_dir).points())
+    fits = elasticity.fits(elasticity.placed(study(spark, sf_dir).levels(), WIDTH))
     return as_doubles(fits.drop("slope", "intercept"))
 
 
@@ -110,7 +114,49 @@ def ped_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ped_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = study(spark, sf_dir)
-    return elasticity.summary(elasticity.fits(s.points()), s.star.base_sku, s.start, s.weeks)
+    return elasticity.summary(elasticity.fits(elasticity.placed(s.levels(), WIDTH)), s.star.base_sku, s.start, s.weeks)
+
+
+def _written(spark: SparkSession, sf_dir: str, name: str, **options) -> DataFrame:
+    """One table of the whole study, after all six have been written; results by name come back from their files."""
+    s = study(spark, sf_dir)
+    root = new_path(spark, "study")
+    tables.write_results(elasticity.study(*s.inputs, width=WIDTH, **options), root)
+    return as_doubles(spark.read.parquet(f"{root}/{name}"))
+
+
+def study_store_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _written(spark, sf_dir, "store_list")
+
+
+def study_store_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _written(spark, sf_dir, "store_weeks").drop("price_kg", "price_bin")
+
+
+def study_weekly_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _written(spark, sf_dir, "weekly_prices")
+
+
+def study_price_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _written(spark, sf_dir, "price_levels")
+
+
+def study_price_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _written(spark, sf_dir, "price_points")
+
+
+def study_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _written(spark, sf_dir, "results")
+
+
+def study_of_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The price points of two products in two networks."""
+    return _written(spark, sf_dir, "price_points", products=PRODUCTS, subnames=NETWORKS)
+
+
+def price_points_sql_of_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SQL route for the same products and networks."""
+    return as_doubles(elasticity.price_points_sql(*study(spark, sf_dir).inputs, width=WIDTH, products=PRODUCTS, subnames=NETWORKS))
 
 
 QUERIES = {
@@ -127,4 +173,12 @@ QUERIES = {
     "ped_fit": ped_fit,
     "ped_predictions": ped_predictions,
     "ped_summary": ped_summary,
+    "study_store_list": study_store_list,
+    "study_store_weeks": study_store_weeks,
+    "study_weekly_prices": study_weekly_prices,
+    "study_price_levels": study_price_levels,
+    "study_price_points": study_price_points,
+    "study_results": study_results,
+    "study_of_products": study_of_products,
+    "price_points_sql_of_products": price_points_sql_of_products,
 }

@@ -72,11 +72,13 @@ kept_rows AS (
 
 
 def _roman(number):
-    """Greedy subtraction, unrolled: tens then the rest, for numbers below 90."""
-    tens = ["", "X", "XX", "XXX", "XL", "L", "LX", "LXX", "LXXX"]
+    """Thousands, hundreds, tens and the rest."""
+    hundreds = ["", "C", "CC", "CCC", "CD", "D", "DC", "DCC", "DCCC", "CM"]
+    tens = ["", "X", "XX", "XXX", "XL", "L", "LX", "LXX", "LXXX", "XC"]
     ones = ["", "I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX"]
     shown = lambda names: "[" + ", ".join(f"'{n}'" for n in names) + "]"
-    return f"{shown(tens)}[{number} // 10 + 1] || {shown(ones)}[{number} % 10 + 1]"
+    return (f"repeat('M', CAST({number} // 1000 AS integer)) || {shown(hundreds)}[{number} // 100 % 10 + 1] || "
+            f"{shown(tens)}[{number} // 10 % 10 + 1] || {shown(ones)}[{number} % 10 + 1]")
 
 
 _NUMBERED = f"""placed AS (
@@ -252,3 +254,8 @@ ORACLES = {
                {', '.join(f"{_shown(form, f'p_{n}', f'c_{n}')} AS {n}" for n, (_, _, form) in _SECTION.items())}
         FROM sides""",
 }
+
+ORACLES |= {
+    "databook_saved": ORACLES["databook_table"],
+    "report_of_network": f"SELECT * FROM ({ORACLES['sales_report']}) WHERE network_subname = 'NATION_12'",
+}

@@ -16,6 +16,7 @@ from salescube.functions.measures import as_doubles
 from salescube.operators.star import fold_sales
 from salescube.plans import databook, report
 from salescube.sources.scratch import new_path, stage
+from salescube.sources.tables import write_results
 
 OWN_PRODUCER = "Producer 2"
 
@@ -69,7 +70,8 @@ def minor_sku_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def report_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stage(report.rows(stored_rollup(spark, sf_dir)), "report-rows")
-    return as_doubles(report.numbered(report.pruned(rows)).drop("sales_all"))
+    kept = stage(report.pruned(rows), "report-kept")
+    return as_doubles(report.numbered(kept).drop("sales_all"))
 
 
 def report_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +87,12 @@ def sales_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(finished.schema).parquet(path)
 
 
+def report_of_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of one network, chosen in the stored rollup before any work."""
+    chosen = stored_rollup(spark, sf_dir).where(F.col("network_subname") == "NATION_12")
+    return as_doubles(report.build(chosen, OWN_PRODUCER))
+
+
 def printed_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The finished report under its printed column names."""
     rollup = stored_rollup(spark, sf_dir)
@@ -120,6 +128,11 @@ def databook_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 KEYS = ["category", "producer"]
+SECTION = {
+    "m_on_m": ("m_on_m", "sum", "abs_change"),
+    "y_on_y": ("m_on_m_last_year", "sum", "pct_change"),
+    "ytd": ("ytd_on_ytd", "mean", "pp_change"),
+}
 
 
 def current_month(spark: SparkSession, sf_dir: str) -> date:
@@ -154,14 +167,21 @@ def databook_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         databook_source(spark, sf_dir),
         KEYS,
         current_month(spark, sf_dir),
-        {
-            "m_on_m": ("m_on_m", "sum", "abs_change"),
-            "y_on_y": ("m_on_m_last_year", "sum", "pct_change"),
-            "ytd": ("ytd_on_ytd", "mean", "pp_change"),
-        },
+        SECTION,
     )
 
 
+def databook_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The section as a job: its source rows and its finished table are saved, and the table is built from the saved copy."""
+    root = new_path(spark, "databook")
+    source = databook_source(spark, sf_dir)
+    write_results({"source": source}, root)
+    saved = spark.read.schema(source.schema).parquet(f"{root}/source")
+    table = databook.table(saved, KEYS, current_month(spark, sf_dir), SECTION)
+    write_results({"table": table}, root)
+    return spark.read.schema(table.schema).parquet(f"{root}/table")
+
+
 QUERIES = {
     "derived_metrics": derived_metrics,
     "report_header": report_header,
@@ -184,4 +204,6 @@ QUERIES = {
     "change_ytd_mean": _changes("ytd_on_ytd", "mean"),
     "change_formatted": change_formatted,
     "databook_table": databook_table,
+    "databook_saved": databook_saved,
+    "report_of_network": report_of_network,
 }

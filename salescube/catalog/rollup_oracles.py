@@ -10,7 +10,7 @@ _FULL = """full_sales AS (
 
 _SPAN = """span AS (
   SELECT l_suppkey, CAST(min(l_shipdate) AS date) AS first_day, CAST(max(l_shipdate) AS date) AS last_day,
-         CAST(count(*) % 50 AS integer) AS weeks
+         CAST(count(DISTINCT date_trunc('week', l_shipdate)) AS integer) AS weeks
   FROM lineitem GROUP BY l_suppkey)"""
 
 
@@ -27,12 +27,21 @@ def _profile(name, table, key, required):
 ORACLES = {
     "rollup_grouping_sets": _ROLLUP,
     "slice_replace": _ROLLUP,
+    "rollup_refresh": _ROLLUP,
+    "snapshot_of_year": f"WITH {FINE}, {_FULL} SELECT * FROM full_sales WHERE year(month_year) = 1995",
+    "views_sql": f"""WITH {FINE}
+        SELECT CASE store_format WHEN 'wholesale' THEN store_format ELSE n.network_subname END AS place,
+               CASE WHEN weight <= 1000 THEN 'light' WHEN weight <= 3000 THEN 'medium' END AS weight_category,
+               count(*) AS row_count, CAST(sum(sales_rub) AS double) AS sales_rub
+        FROM retail_sales JOIN base_sku USING (global_sku_code) JOIN base_sales_point n USING (global_pos_code)
+        GROUP BY ALL""",
     "rollup_variant_filtered": f"""WITH {FINE}, {rollup_sql(where="n.store_format <> 'wholesale'")}
         SELECT * FROM rollup""",
     "rollup_variant_whole": f"WITH {FINE}, {rollup_sql(subname='n.network_name')} SELECT * FROM rollup",
     "rollup_variant_regrouped": f"WITH {FINE}, {rollup_sql(subname='n.corp_centre')} SELECT * FROM rollup",
     "slice_extract": f"""WITH {FINE}, {_FULL}
-        SELECT month_year, global_sku_code, global_pos_code, pieces, sales_rub FROM full_sales""",
+        SELECT month_year, global_sku_code, global_pos_code, pieces, sales_rub FROM full_sales
+        WHERE month_year = DATE '1995-03-01' AND network_name = 'ASIA'""",
     "slice_counts": f"""WITH {FINE}, {_FULL}
         SELECT month_year, network_name, count(*) AS row_count FROM full_sales GROUP BY ALL""",
     "month_series": f"""WITH {_SPAN}

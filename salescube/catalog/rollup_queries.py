@@ -18,6 +18,8 @@ from salescube.sources import snapshot, tables
 from salescube.sources.scratch import new_path, stage
 
 TAKEN = date(2024, 1, 10)
+MONTH = date(1995, 3, 1)
+NETWORK = "ASIA"
 
 
 def build_rollup(star: Star, **options) -> DataFrame:
@@ -64,10 +66,46 @@ def slice_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.read_rollup(spark, path).drop("last_update")
 
 
+def rollup_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly job with its checks: all months and networks once, then one month of one network again."""
+    star = fine_star(spark, sf_dir)
+    fact = stage(star.full_fact, "sales")
+    path = new_path(spark, "dp-agg")
+    chains = sorted(r.network_name for r in star.base_sales_point.select("network_name").distinct().collect())
+    first, last = fact.agg(F.min("month_year"), F.max("month_year")).first()
+    job = (fact, star.base_sku, star.base_sales_point, star.networks, path)
+    rollup.refresh(*job, first, last, chains, chains)
+    rollup.refresh(*job, MONTH, MONTH, [NETWORK], chains)
+    return rollup.read_rollup(spark, path).drop("last_update")
+
+
+def snapshot_of_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copy the sales of one year, picked by its month directories, and read the copy."""
+    stored = new_path(spark, "sales")
+    tables.append_sales(as_doubles(fine_star(spark, sf_dir).full_fact), stored)
+    sales = tables.read_table(spark, stored, RETAIL_SALES)
+    paths = warehouse.take_snapshot({"retail_sales": sales}, new_path(spark, "snapshot"), TAKEN, which=MONTH.year)
+    return snapshot.read_snapshot(spark, paths["retail_sales"], RETAIL_SALES)
+
+
+def views_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables as views under their names, and a statement over them: roubles by store format and weight class."""
+    star = fine_star(spark, sf_dir)
+    tables.register_views({
+        "retail_sales": star.fact, "base_sku": star.base_sku, "base_sales_point": star.base_sales_point,
+        "formats": store_format_view(spark, sf_dir), "weight_classes": weight_categories(spark, sf_dir),
+    })
+    return as_doubles(spark.sql("""
+        SELECT f.network_subname_alt AS place, w.weight_category, count(*) AS row_count, sum(s.sales_rub) AS sales_rub
+        FROM retail_sales s JOIN formats f USING (global_pos_code) JOIN weight_classes w USING (global_sku_code)
+        GROUP BY ALL"""))
+
+
 def slice_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rollup's input columns for every month and network at once."""
-    fact = fine_star(spark, sf_dir).full_fact
-    return as_doubles(slice_extract(fact, F.col("month_year"), F.col("network_name")))
+    """The rollup's input columns for one month and network of the stored sales, whose month directory alone is read."""
+    stored = new_path(spark, "sales")
+    tables.append_sales(as_doubles(fine_star(spark, sf_dir).full_fact), stored)
+    return as_doubles(slice_extract(tables.read_table(spark, stored, RETAIL_SALES), F.lit(MONTH), F.lit(NETWORK)))
 
 
 def slice_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,10 +121,10 @@ def month_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def week_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As many Mondays as each store has sales lines, at most 50, from its first day of sales on."""
+    """As many Mondays as each store has weeks with sales, from its first day of sales on."""
     span = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(
         F.min("l_shipdate").cast("date").alias("first_day"),
-        (F.count(F.lit(1)) % 50).cast("int").alias("weeks"),
+        F.count_distinct(F.date_trunc("week", "l_shipdate")).cast("int").alias("weeks"),
     )
     return mondays(span, F.col("first_day"), F.col("weeks"))
 
@@ -100,7 +138,8 @@ def week_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def network_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.network_names(fine_star(spark, sf_dir).full_fact)
+    """The networks to choose from, read from the stored rollup."""
+    return checks.network_names(stored_rollup(spark, sf_dir))
 
 
 def dim_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,6 +321,9 @@ QUERIES = {
     "rollup_variant_whole": rollup_variant_whole,
     "rollup_variant_regrouped": rollup_variant_regrouped,
     "slice_replace": slice_replace,
+    "rollup_refresh": rollup_refresh,
+    "snapshot_of_year": snapshot_of_year,
+    "views_sql": views_sql,
     "slice_extract": slice_extracts,
     "slice_counts": slice_counts,
     "month_series": month_series,

@@ -16,7 +16,6 @@ NEGATIVE_ZEROS = {"-0%": "0%", "-0": "0", "-0,0": "0,0"}
 CHANGE_FORMS = ("abs_change", "pp_change", "pct_change")
 
 _ROMAN_DIGITS = (
-    ("", "M", "MM", "MMM"),
     ("", "C", "CC", "CCC", "CD", "D", "DC", "DCC", "DCCC", "CM"),
     ("", "X", "XX", "XXX", "XL", "L", "LX", "LXX", "LXXX", "XC"),
     ("", "I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX"),
@@ -30,12 +29,12 @@ def range_label(low: Column, width: int | float) -> Column:
 
 
 def roman(number: Column) -> Column:
-    """Roman numeral of 1 to 3999, digit by digit; null beyond."""
+    """Roman numeral, digit by digit, thousands as that many M; null below 1."""
     digits = [
         F.element_at(F.array(*[F.lit(d) for d in names]), (F.floor(number / power) % 10 + 1).cast("int"))
-        for names, power in zip(_ROMAN_DIGITS, (1000, 100, 10, 1), strict=True)
+        for names, power in zip(_ROMAN_DIGITS, (100, 10, 1), strict=True)
     ]
-    return F.when(number.between(1, 3999), F.concat(*digits))
+    return F.when(number >= 1, F.concat(F.repeat(F.lit("M"), F.floor(number / 1000).cast("int")), *digits))
 
 
 def thousands(number: Column, places: int = 0) -> Column:

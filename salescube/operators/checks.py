@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salescube.functions.measures import EXACT
+
 
 class InputError(ValueError):
     """Input data or parameters a job cannot work with."""
@@ -65,6 +67,19 @@ def not_null(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[guarded(f) for f in schema.fields])
 
 
+def four_places(df: DataFrame, *columns: str) -> DataFrame:
+    """The same rows, failing the job at the first value that four decimal places do not hold; sums are exact for all others."""
+
+    def guarded(name: str) -> Column:
+        value = F.col(f"`{name}`").cast("double")
+        kept = value.cast(EXACT).cast("double")
+        message = F.concat(F.lit(f"{name} needs more than four decimal places: "), value.cast("string"))
+        strange = (F.abs(value - kept) > 1e-6) | (value.isNotNull() & kept.isNull())
+        return F.when(strange, F.raise_error(message).cast(df.schema[name].dataType)).otherwise(F.col(f"`{name}`"))
+
+    return df.withColumns({name: guarded(name) for name in columns})
+
+
 def slice_counts(fact: DataFrame) -> DataFrame:
     """Rows per month and network; reads two columns."""
     return fact.groupBy("month_year", "network_name").agg(F.count(F.lit(1)).alias("row_count"))

@@ -10,9 +10,10 @@ def weighted_line(df: DataFrame, keys: list[str], x: Column, y: Column, weight:
     """Add slope, intercept and point count of y = intercept + slope * x, fitted per key by weighted least squares.
 
     Points with a null x or y do not take part. Fewer than two distinct x values leave slope and intercept null. The
-    centred form keeps the sums small, so large x values lose no digits.
+    centred form keeps the sums small, so large x values lose no digits. Sums run in the order of x, so that a retried task
+    adds in the same order.
     """
-    group = Window.partitionBy(*keys)
+    group = Window.partitionBy(*keys).orderBy(x).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     used = x.isNotNull() & y.isNotNull()
     w = F.when(used, weight.cast("double"))
     centred = (

@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salescube.functions.dates import day_span, week_range
-from salescube.functions.measures import exact, grams, kilograms, ratio, round_even
+from salescube.functions.measures import grams, kilograms, ratio, round_even
+from salescube.functions.sizing import bounded_broadcast
 from salescube.functions.text import range_label, signed, thousands
 from salescube.operators.regression import weighted_line
-from salescube.operators.star import in_dates, sku_names, star_join, store_dimension
+from salescube.operators.star import fold_sales, in_dates, sku_names, star_join, store_dimension
 from salescube.sources.scratch import stage
 
 # Thresholds of the study.
@@ -45,12 +46,13 @@ def store_weeks(
     sales = in_dates(fact, "week_start_date", F.lit(first), F.lit(last)).select(
         "week_start_date", "global_sku_code", "global_pos_code", "pieces", "sales_rub"
     )
-    joined = star_join(sales, skus.select("global_sku_code", "weight"), store_dimension(stores, networks))
+    folded = fold_sales(sales, "week_start_date", "global_sku_code", "global_pos_code")
+    joined = star_join(folded, skus.select("global_sku_code", "weight"), store_dimension(stores, networks))
     summed = joined.groupBy(
         F.col("network_subname_alt").alias("network_subname"), "global_sku_code", "week_start_date", "global_pos_code"
     ).agg(
         kilograms(F.sum(grams("pieces", "weight"))).alias("kg"),
-        F.sum(exact("sales_rub")).alias("rub"),
+        F.sum("sales_rub").alias("rub"),
     )
     price = ratio("rub", "kg")
     return summed.select(
@@ -124,9 +126,10 @@ def weekly_prices(flagged_weeks: DataFrame) -> DataFrame:
 def price_levels(
     flagged_weeks: DataFrame, weeks: int, share: float = COVERAGE_SHARE, base: str = "all",
 ) -> DataFrame:
-    """Price bins with turnover per store-week and a flag for sufficient coverage.
+    """All price bins of a pair, with turnover per store-week of kept stores and a flag for sufficient coverage.
 
-    A bin must reach `share` of all combinations of weeks and stores: of all listed stores or, with `base="kept"`, of the
+    Bins that only dropped stores have come with `akb` 0: they carry the totals of the pair, and `kept_levels` leaves them
+    out. A bin must reach `share` of all combinations of weeks and stores: of all listed stores or, with `base="kept"`, of the
     kept ones. Rows with `price_bin` null carry the store-weeks without a price; they count as stores, not as a bin.
     """
     if base not in ("all", "kept"):
@@ -162,14 +165,24 @@ def price_levels(
     )
 
 
+def kept_levels(levels: DataFrame) -> DataFrame:
+    """The price levels of the study: bins with a price in which a kept store sold."""
+    return levels.where(F.col("price_bin").isNotNull() & (F.col("akb") > 0))
+
+
+def placed(levels: DataFrame, width: float = BIN_WIDTH) -> DataFrame:
+    """Levels at the midpoint of their bin."""
+    return levels.withColumn("price_bin", F.col("price_bin") + F.lit(0.5 * width))
+
+
 def price_points(levels: DataFrame, width: float = BIN_WIDTH) -> DataFrame:
     """Covered price bins, placed at their midpoint."""
-    return levels.where(F.col("filter") == 1).withColumn("price_bin", F.col("price_bin") + F.lit(0.5 * width))
+    return placed(levels.where(F.col("filter") == 1), width)
 
 
 def fitted(points: DataFrame) -> DataFrame:
-    """Price points with the pair's fit and the predicted turnover; turnover of zero stays out of the fit."""
-    positive = F.col("turnover") > 0
+    """Placed levels with the pair's fit through its covered bins and the predicted turnover; turnover of zero stays out of the fit."""
+    positive = (F.col("filter") == 1) & (F.col("turnover") > 0)
     line = weighted_line(
         points,
         PAIR,
@@ -186,13 +199,18 @@ def predictions(points: DataFrame) -> DataFrame:
     )
 
 
-def fits(points: DataFrame) -> DataFrame:
-    """Slope, intercept and quality per pair, the errors measured on the unlogged scale."""
-    pair = Window.partitionBy(*PAIR)
-    used = F.col("turnover") > 0
+def fits(levels: DataFrame) -> DataFrame:
+    """Slope, intercept and quality of every pair of the (placed) levels, the errors measured on the unlogged scale.
+
+    A pair without a covered bin has status `no_points`, one with a single price `too_few_points`; both keep their stores,
+    weeks and kilograms.
+    """
+    pair = Window.partitionBy(*PAIR).orderBy("price_bin").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    covered = F.col("filter") == 1
+    used = covered & (F.col("turnover") > 0)
     w = F.when(used, F.col("akb").cast("double"))
     y = F.col("turnover")
-    centred = fitted(points).withColumn(
+    centred = fitted(levels).withColumn(
         "__mean", F.try_divide(F.sum(w * y).over(pair), F.sum(w).over(pair))
     )
     error = F.sum(w * F.pow(y - F.col("predicted"), 2.0))
@@ -201,8 +219,9 @@ def fits(points: DataFrame) -> DataFrame:
         F.max("slope").alias("slope"),
         F.max("intercept").alias("intercept"),
         F.max("fit_points").alias("points"),
-        F.count_if(~used).alias("points_left_out"),
-        F.sum("kg").alias("covered_kg"),
+        F.count_if(covered).alias("covered"),
+        F.count_if(covered & (F.col("turnover") <= 0)).alias("points_left_out"),
+        F.coalesce(F.sum(F.when(covered, F.col("kg"))), F.lit(0)).alias("covered_kg"),
         error.alias("error"),
         total.alias("total"),
         F.sum(w).alias("weight"),
@@ -210,7 +229,7 @@ def fits(points: DataFrame) -> DataFrame:
     )
     return per_pair.select(
         *PAIR,
-        F.when(F.col("slope").isNull(), F.lit("too_few_points")).otherwise(F.lit("ok")).alias("status"),
+        F.when(F.col("covered") == 0, F.lit("no_points")).when(F.col("slope").isNull(), F.lit("too_few_points")).otherwise(F.lit("ok")).alias("status"),
         "points",
         "points_left_out",
         "slope",
@@ -265,33 +284,45 @@ def study(
         "store_list": store_list(marked, weeks, active_share),
         "store_weeks": marked.drop("first_of_store"),
         "weekly_prices": weekly_prices(marked),
-        "price_levels": levels.where(F.col("price_bin").isNotNull()),
+        "price_levels": kept_levels(levels),
         "price_points": predictions(points),
-        "results": summary(fits(points), skus, start, weeks),
+        "results": summary(fits(placed(levels, width)), skus, start, weeks),
     }
 
 
 def price_points_sql(
     fact: DataFrame, skus: DataFrame, stores: DataFrame, networks: DataFrame, start: date, weeks: int,
     width: float = BIN_WIDTH, active_share: float = ACTIVE_SHARE, coverage_share: float = COVERAGE_SHARE_KEPT,
+    products: list[str] | None = None, subnames: list[str] | None = None,
 ) -> DataFrame:
-    """The same price points as one SQL statement over one scan, for every pair; turnover is left unrounded.
+    """The same price points as one SQL statement over one scan, for every pair or the named ones; turnover is left unrounded.
 
-    Kept stores are counted by their first weeks, so the coverage limit needs no second pass over the sales.
+    Sales are summed before they meet the measured dimensions. Kept stores are counted by their first weeks, so the coverage
+    limit needs no second pass over the sales.
     """
     first, last = week_range(start, weeks)
+    if products is not None:
+        fact = fact.where(F.col("global_sku_code").isin(products))
+    if subnames is not None:
+        networks = networks.where(F.col("network_subname_alt").isin(subnames))
+    skus, places = bounded_broadcast(skus.select("global_sku_code", "weight"), store_dimension(stores, networks))
     return fact.sparkSession.sql(
         """
-        WITH store_weeks AS (
-            SELECT m.network_subname_alt AS network_subname, f.global_sku_code, f.global_pos_code, f.week_start_date,
+        WITH folded AS (
+            SELECT global_sku_code, global_pos_code, week_start_date, sum(CAST(pieces AS bigint)) AS pieces,
+                   sum(CAST(sales_rub AS decimal(18, 4))) AS sales_rub
+            FROM {fact}
+            WHERE week_start_date BETWEEN :first AND :last
+            GROUP BY ALL
+        ),
+        store_weeks AS (
+            SELECT n.network_subname_alt AS network_subname, f.global_sku_code, f.global_pos_code, f.week_start_date,
                    CAST(sum(CAST(f.pieces AS decimal(10, 0)) * CAST(p.weight AS decimal(18, 4)))
                         * CAST(0.001 AS decimal(4, 3)) AS decimal(28, 7)) AS kg,
-                   sum(CAST(f.sales_rub AS decimal(18, 4))) AS rub
-            FROM {fact} f
+                   sum(f.sales_rub) AS rub
+            FROM folded f
             JOIN {skus} p USING (global_sku_code)
-            JOIN {stores} n USING (global_pos_code)
-            JOIN {networks} m USING (global_pos_code)
-            WHERE f.week_start_date BETWEEN :first AND :last
+            JOIN {places} n USING (global_pos_code)
             GROUP BY ALL
         ),
         active AS (
@@ -326,5 +357,5 @@ def price_points_sql(
             "first": first, "last": last, "weeks": weeks, "width": float(width), "active_share": float(active_share),
             "coverage_share": Decimal(str(coverage_share)),
         },
-        fact=fact, skus=skus, stores=stores, networks=networks,
+        fact=fact, skus=skus, places=places,
     )

@@ -291,11 +291,10 @@ def labelled(wide: DataFrame, periods: list[date], weekly: bool = False) -> Data
     return wide.select(_NET, "position", F.col("number").alias("№ п/п"), *renamed, *values)
 
 
-def write(report: DataFrame, path: str, files_per_network: int = 1) -> None:
-    """One directory per network; a large network is written by several tasks."""
-    salt = F.pmod(F.col("position"), F.lit(files_per_network))
+def write(report: DataFrame, path: str) -> None:
+    """One directory per network; adaptive execution splits a large network by its bytes."""
     (
-        report.repartition(F.col(_NET), salt)
+        report.hint("rebalance", _NET)
         .write.mode("overwrite")
         .option("compression", "zstd")
         .partitionBy(_NET)

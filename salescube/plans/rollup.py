@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from salescube.functions.dates import period_bounds
 from salescube.functions.measures import grams, round_even
-from salescube.operators.checks import require_clean, require_known, require_slices
+from salescube.operators.checks import InputError, require_clean, require_known, require_slices
 from salescube.operators.star import fold_sales, star_join, store_dimension
 from salescube.schemas import DIMENSION_KEYS, GROUP_KEYS, ROLLUP, ROW_KEYS
 from salescube.sources.tables import insert_aligned, replace_slices
@@ -113,11 +113,14 @@ def refresh(
 ) -> None:
     """Recompute the requested months and networks and replace exactly those slices of the stored rollup.
 
-    Parameters and dimensions are checked first and every requested slice must have sales; nothing is replaced otherwise.
+    Parameters and dimensions are checked first; every requested slice must have sales, and rows in the new rollup. Nothing is
+    replaced otherwise.
     A sale whose network differs from its store's network cannot leak into a slice that was not requested. `variant`
     takes the options of `build`; each variant has its own table.
     """
     months = months_in(start, end)
+    if not months:
+        raise InputError(f"no month starts between {start} and {end}")
     require_known(chains, known_chains)
     require_clean({
         "base_sku": (skus, DIMENSION_KEYS["base_sku"], ["global_sku_code"]),

@@ -5,10 +5,11 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salescube.operators.checks import InputError
 from salescube.schemas import BASE_SALES_POINT, BASE_SKU, CALENDAR, RAW_PARTITION, STAR
-from salescube.sources.snapshot import latest_partition, partitions, read_dump, read_snapshot, snapshot_path, write_snapshot
+from salescube.sources.snapshot import latest_partition, read_dump, read_snapshot, snapshot_path, write_snapshot
 from salescube.sources.tables import append_sales, read_table, write_dimension
 
 DIMENSIONS = {"calendar": CALENDAR, "base_sku": BASE_SKU, "base_sales_point": BASE_SALES_POINT}
@@ -23,8 +24,7 @@ def choose_partitions(sales: DataFrame, which: str | int = "all") -> DataFrame:
     if which == "latest":
         return latest_partition(sales)
     if isinstance(which, int):
-        months = partitions(sales, year=which)
-        return sales.join(months, "month_year", "left_semi")
+        return sales.where(F.col("month_year").between(F.lit(date(which, 1, 1)), F.lit(date(which, 12, 31))))
     raise InputError(f"unknown choice of partitions {which!r}, expected one of {CHOICES} or a year")
 
 
@@ -33,7 +33,6 @@ def take_snapshot(
     root: str,
     taken: date,
     which: str | int = "all",
-    files_per_partition: int = 1,
     fmt: str = "parquet",
 ) -> dict[str, str]:
     """Copy the raw sales partitions and the dimensions to dated directories; returns their paths."""
@@ -41,7 +40,7 @@ def take_snapshot(
     for name, df in tables.items():
         paths[name] = snapshot_path(root, name, taken)
         if name == FACT:
-            write_snapshot(choose_partitions(df, which), paths[name], "month_year", files_per_partition, fmt)
+            write_snapshot(choose_partitions(df, which), paths[name], "month_year", fmt)
         else:
             write_snapshot(df, paths[name], None, fmt=fmt)
     return paths
@@ -52,7 +51,6 @@ def load_star(
     sales: str | list[str],
     dimensions: dict[str, str],
     target: str,
-    files_per_month: int = 1,
     fmt: str = "parquet",
 ) -> dict[str, DataFrame]:
     """Load dimensions and sales into the warehouse at `target` and return its tables.
@@ -63,5 +61,5 @@ def load_star(
     target = target.rstrip("/")
     for name, path in dimensions.items():
         write_dimension(read(spark, path, DIMENSIONS[name]), f"{target}/{name}", DIMENSIONS[name])
-    append_sales(read(spark, sales, RAW_PARTITION), f"{target}/{FACT}", files_per_month)
+    append_sales(read(spark, sales, RAW_PARTITION), f"{target}/{FACT}")
     return {name: read_table(spark, f"{target}/{name}", STAR[name]) for name in [FACT, *dimensions]}

@@ -22,16 +22,14 @@ def write_snapshot(
     df: DataFrame,
     path: str,
     partition_by: str | None = "month_year",
-    files_per_partition: int = 1,
     fmt: str = "parquet",
 ) -> None:
-    """One directory per partition. A large partition is spread over `files_per_partition` tasks and files.
+    """One directory per partition. Adaptive execution spreads a large partition over tasks and files by its bytes.
 
     Parquet with zstd by default; `fmt="csv"` writes the text dump format, gzip-compressed.
     """
     if partition_by is not None:
-        spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
-        df = df.repartition(F.col(partition_by), spread)
+        df = df.hint("rebalance", partition_by)
     writer = df.write.mode("errorifexists")
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)

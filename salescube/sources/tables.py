@@ -2,25 +2,26 @@
 
 from __future__ import annotations
 
+from itertools import product
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salescube.operators.checks import InputError, not_null
+from salescube.operators.checks import InputError, four_places, not_null
 from salescube.schemas import RETAIL_SALES, ROLLUP
-from salescube.sources.scratch import stage
+from salescube.sources.scratch import release, stage
 
 
-def append_sales(raw: DataFrame, path: str, files_per_month: int = 1) -> None:
-    """Prune raw partition rows to the fact's columns, reject nulls, append by month.
+def append_sales(raw: DataFrame, path: str) -> None:
+    """Prune raw partition rows to the fact's columns, reject nulls and roubles with more than four decimals, append by month.
 
-    Months are spread over `files_per_month` tasks each, so a month with a third of all rows is not written by one
-    task, and a task does not open a file in every month.
+    Rows are gathered by month, so that a task does not open a file in every month; adaptive execution splits a month by its
+    bytes, so that one with a third of all rows is not written by one task.
     """
-    fact = not_null(raw.select(*RETAIL_SALES.fieldNames()), RETAIL_SALES)
-    salt = F.pmod(F.xxhash64(*fact.columns), F.lit(files_per_month))
+    fact = four_places(not_null(raw.select(*RETAIL_SALES.fieldNames()), RETAIL_SALES), "sales_rub")
     (
-        fact.repartition(F.col("month_year"), salt)
+        fact.hint("rebalance", "month_year")
         .write.mode("append")
         .option("compression", "zstd")
         .partitionBy("month_year")
@@ -29,8 +30,8 @@ def append_sales(raw: DataFrame, path: str, files_per_month: int = 1) -> None:
 
 
 def write_dimension(df: DataFrame, path: str, schema: T.StructType) -> None:
-    """Replace a dimension with checked, typed rows."""
-    not_null(df, schema).write.mode("overwrite").option("compression", "zstd").parquet(path)
+    """Replace a dimension with checked, typed rows; a weight has four decimals at most."""
+    four_places(not_null(df, schema), *{"weight"} & set(schema.fieldNames())).write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -64,12 +65,11 @@ def replace_slices(
     path: str,
     keys: list[str],
     requested: dict[str, list] | None = None,
-    files_per_slice: int = 1,
 ) -> None:
     """Replace exactly the (key) slices present in the result and leave every other slice as it is.
 
-    The result is staged first, so it is computed once and checked whole: an empty result, or a slice outside the
-    `requested` key values, is refused before anything is replaced. The replacement itself is swapped in on commit, so a
+    The result is staged first, so it is computed once and checked whole: an empty result, a slice outside the `requested` key
+    values, or a requested slice without rows (whose old rows would stay) is refused before anything is replaced. The replacement itself is swapped in on commit, so a
     failed job leaves the old slices. Running it twice gives the same table.
     """
     staged = stage(result, "slices")
@@ -80,15 +80,21 @@ def replace_slices(
         strangers = sorted({str(row[key]) for row in found if row[key] not in allowed})
         if strangers:
             raise InputError(f"the result holds {key} values that were not requested: {', '.join(strangers)}")
-    salt = F.pmod(F.xxhash64(*[c for c in staged.columns if c not in keys]), F.lit(files_per_slice))
+    if requested:
+        named = [k for k in keys if k in requested]
+        present = {tuple(row[k] for k in named) for row in found}
+        absent = sorted(str(", ".join(map(str, s))) for s in product(*(requested[k] for k in named)) if s not in present)
+        if absent:
+            raise InputError(f"requested slices have no rows and would keep their old ones: {'; '.join(absent)}")
     (
-        staged.repartition(*[F.col(k) for k in keys], salt)
+        staged.hint("rebalance", *keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .partitionBy(*keys)
         .parquet(path)
     )
+    release(staged)
 
 
 def insert_aligned(df: DataFrame, target: T.StructType = ROLLUP) -> DataFrame:

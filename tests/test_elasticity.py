@@ -10,12 +10,12 @@ from salescube.plans import elasticity
 
 START = date(2024, 4, 1)
 POINTS = "network_subname string, global_sku_code string, price_bin double, turnover double, akb long, price_bin_range string, kg double"
-EXTRA = ("listed_kg", "listed_stores", "kept_stores", "kept_rows")
+EXTRA = {"listed_kg": 0, "listed_stores": 0, "kept_stores": 0, "kept_rows": 0, "filter": 1}
 
 
 def points(spark, rows, sku="s"):
     df = spark.createDataFrame([("n", sku, float(x), float(y), w, "", 1.0) for x, y, w in rows], POINTS)
-    return df.withColumns({c: F.lit(0) for c in EXTRA})
+    return df.withColumns({c: F.lit(v) for c, v in EXTRA.items()})
 
 
 def test_fit_against_worked_values(spark):
@@ -149,7 +149,22 @@ def test_study_writes_every_table(spark, market, tmp_path):
     write_results(tables, str(tmp_path))
     counts = {name: spark.read.parquet(f"{tmp_path}/{name}").count() for name in tables}
     assert counts == {
-        "store_list": 4, "store_weeks": 14, "weekly_prices": 11, "price_levels": 2, "price_points": 2, "results": 1,
+        "store_list": 4, "store_weeks": 14, "weekly_prices": 11, "price_levels": 2, "price_points": 2, "results": 2,
     }
-    result = spark.read.parquet(f"{tmp_path}/results").collect()[0]
+    results = {r["global_sku_code"]: r for r in spark.read.parquet(f"{tmp_path}/results").collect()}
+    assert (results["w"]["status"], results["w"]["stores"], results["w"]["kg"], results["w"]["ped"]) == ("no_points", "0 / 1", "0 / 0", None)
+    result = results["s"]
     assert (result["stores"], result["store_weeks"], result["kg"]) == ("2 / 3", "11 / 16 / 24", "110 / 130")
+
+
+def test_bins_of_dropped_stores_are_no_price_levels(spark, market):
+    fact, *rest = market
+    dear = spark.createDataFrame([(START, "s", "rare2", 1, 900.0)], fact.schema)
+    stores = rest[1].union(spark.createDataFrame([("rare2",)], rest[1].schema))
+    networks = stores.withColumn("network_subname_alt", F.lit("n"))
+    levels = elasticity.price_levels(elasticity.flagged(elasticity.store_weeks(fact.union(dear), rest[0], stores, networks, START, 8), 8), 8)
+    assert "900-905" in {r["price_bin_range"] for r in levels.collect()}
+    kept = elasticity.kept_levels(levels).collect()
+    assert {r["price_bin_range"] for r in kept} == {"50-55", "100-105"} and {r["listed_stores"] for r in kept} == {4}
+    status = {r["global_sku_code"]: r["status"] for r in elasticity.fits(elasticity.placed(levels)).collect()}
+    assert status == {"s": "ok", "w": "no_points"}

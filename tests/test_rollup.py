@@ -136,6 +136,21 @@ def test_refresh_refuses_before_it_replaces(spark, star, tmp_path):
     assert sorted(map(str, rollup.read_rollup(spark, path).collect())) == before
 
 
+def test_stale_slices_and_empty_periods_are_refused(spark, star, tmp_path):
+    path = str(tmp_path / "rollup")
+    fact, *dims = star
+    second = date(2024, 2, 1)
+    both = fact.unionByName(spark.createDataFrame([sale("s1", "p2", 3, month=second)], FACT))
+    rollup.refresh(both, *dims, path, "01.01.2024", "29.02.2024", ["N"], ["N"])
+    before = sorted(map(str, rollup.read_rollup(spark, path).collect()))
+    unknown = both.withColumn("global_sku_code", F.when(F.col("month_year") == F.lit(second), "nowhere").otherwise(F.col("global_sku_code")))
+    with pytest.raises(checks.InputError, match="would keep their old ones: 2024-02-01, N"):
+        rollup.refresh(unknown, *dims, path, "01.01.2024", "29.02.2024", ["N"], ["N"])
+    with pytest.raises(checks.InputError, match="no month starts"):
+        rollup.refresh(both, *dims, path, "02.01.2024", "31.01.2024", ["N"], ["N"])
+    assert sorted(map(str, rollup.read_rollup(spark, path).collect())) == before
+
+
 def test_slice_extract_and_mismatch(spark, star):
     fact, _, stores, _ = star
     assert slice_extract(fact, F.lit(MONTH), F.lit("N")).count() == 5

@@ -32,7 +32,7 @@ def test_loads_compressed_dumps_in_one_read(spark, tmp_path):
     sales = snapshot.read_dump(spark, f"{tmp_path}/retail_sales_y*", RAW_PARTITION)
     assert sales.count() == 4 and set(column(sales, "file")) == {'say "hi"'}
     assert sales.collect()[0]["created"] == datetime(2024, 1, 10, 10)
-    tables.append_sales(sales, str(tmp_path / "fact"), files_per_month=2)
+    tables.append_sales(sales, str(tmp_path / "fact"))
     tables.append_sales(sales.where("month = 10"), str(tmp_path / "fact"))
     fact = tables.read_table(spark, str(tmp_path / "fact"), RETAIL_SALES)
     assert fact.columns == RETAIL_SALES.fieldNames()
@@ -77,7 +77,7 @@ def test_choice_of_partitions(sales):
 
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
 def test_snapshot_has_one_directory_per_month(spark, sales, tmp_path, fmt):
-    paths = warehouse.take_snapshot({"retail_sales": sales}, str(tmp_path), date(2024, 1, 10), fmt=fmt, files_per_partition=2)
+    paths = warehouse.take_snapshot({"retail_sales": sales}, str(tmp_path), date(2024, 1, 10), fmt=fmt)
     assert paths == {"retail_sales": f"{tmp_path}/retail_sales_2024-01-10"}
     months = sorted(p.name for p in (tmp_path / "retail_sales_2024-01-10").glob("month_year=*"))
     assert months == ["month_year=2023-12-01", "month_year=2024-02-01", "month_year=2024-10-01"]
@@ -130,3 +130,53 @@ def test_staged_table_lands_in_the_shared_folder(spark, sales):
     assert scratch.scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert all(scratch.scratch_dir(spark) in f for f in staged.inputFiles())
     assert sorted(staged.collect()) == sorted(sales.collect())
+
+
+@pytest.fixture
+def small_pieces(spark):
+    names = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize"]
+    before = {n: spark.conf.get(n) for n in names}
+    spark.conf.set(names[1], "1k")
+    spark.conf.set(names[0], "16k")
+    yield
+    for n in names[::-1]:
+        spark.conf.set(n, before[n])
+
+
+def test_writers_split_a_hot_partition_by_its_bytes(spark, tmp_path, small_pieces):
+    from salescube.plans import report
+    from salescube.schemas import ROLLUP
+
+    hot, cold = date(2024, 1, 1), date(2024, 2, 1)
+    rows = spark.range(0, 60_000, 1, 12).select(
+        F.when(F.col("id") < 59_900, F.lit(hot)).otherwise(F.lit(cold)).alias("month_year"), F.lit(hot).alias("week_start_date"), F.lit("n").alias("network_name"),
+        F.lit("n").alias("network_subname"), F.sha2(F.col("id").cast("string"), 256).alias("global_sku_code"), F.lit("p").alias("global_pos_code"), F.lit(1).alias("pieces"),
+        F.lit(1.5).alias("sales_rub"))
+    tables.append_sales(rows, str(tmp_path / "fact"))
+    snapshot.write_snapshot(rows, str(tmp_path / "copy"))
+    slices = rows.select(*[
+        (F.col("month_year") if f.name == "report_date" else F.col("global_sku_code") if f.name == "global_sku_name" else F.lit("n") if f.name == "network_name"
+         else F.lit(None)).cast(f.dataType).alias(f.name) for f in ROLLUP.fields])
+    tables.replace_slices(slices, str(tmp_path / "slices"), ["report_date", "network_name"])
+    wide = rows.select(F.col("month_year").cast("string").alias("network_subname"), F.monotonically_increasing_id().alias("position"), "global_sku_code")
+    report.write(wide, str(tmp_path / "report"))
+    for name, key in (("fact", "month_year"), ("copy", "month_year"), ("slices", "report_date"), ("report", "network_subname")):
+        files = {d: len(list((tmp_path / name / f"{key}={d}").rglob("*.parquet"))) for d in (hot, cold)}
+        assert files[hot] > 3 and files[cold] <= 2, (name, files)
+
+
+def test_more_decimals_than_sums_hold_are_refused(spark, sales, tmp_path):
+    with pytest.raises(Exception, match="more than four decimal places"):
+        tables.append_sales(sales.withColumn("sales_rub", F.lit(10.0) / 3), str(tmp_path / "fact"))
+
+
+def test_release_removes_only_its_own_folder(spark, sales):
+    import os
+
+    from salescube.sources.scratch import release, scratch_dir, stage
+
+    kept, gone = stage(sales, "kept"), stage(sales, "gone")
+    release(gone)
+    names = os.listdir(scratch_dir(spark))
+    assert any(n.startswith("kept-") for n in names) and not any(n.startswith("gone-") for n in names)
+    assert kept.count() == sales.count()

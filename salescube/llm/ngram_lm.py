@@ -7,11 +7,11 @@ and 3 or more, and g, h the mass that discounting frees. The text's start is the
 leaves Pc. V + 1 words share the uniform part, the last being all unseen ones.
 
 1. Token counts: every task folds its tokens and sends sorted blocks of hashes to shards by their top bits; a shard merges its
-   blocks and writes the store `words` (count).
-2. Bigram counts: pairs are spread by a hash of both tokens, so no frequent token gathers in one shard. A shard merges its
-   blocks, writes the store `pairs` (count), and passes on, folded by token, how many distinct followers a token has that were
-   seen once, twice or more, and how many distinct predecessors.
-3. These are summed per token and written to the store `contexts`.
+   blocks and writes the store `words`. A token's place in all shards together is its number.
+2. Bigram counts: pairs of numbers are spread by a hash of both tokens, so no frequent token gathers in one shard. A shard merges
+   its blocks, writes the store `pairs` (counts of 255 and more in the store `often`), and passes on, folded by token, how many
+   distinct followers a token has that were seen once, twice or more, and how many distinct predecessors.
+3. These are summed per token and become columns of the store `words`.
 4. Scoring maps the stores and probes the distinct tokens and pairs of one piece of text at a time.
 
 Blocks are columns of numbers in one binary row, so Spark moves thousands of entries per row, and shards are sized from measured
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from salescube.llm import tokens
-from salescube.llm.store import SortedStore, new_path, shard_bits
+from salescube.llm.store import SortedStore, new_path, put, shard_bits
 from salescube.sources.scratch import stage
 
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
@@ -60,10 +60,6 @@ def _pair_lists(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return now, before, at
 
 
-def pair_hash(before: np.ndarray, now: np.ndarray) -> np.ndarray:
-    return tokens.mix(tokens.mix(before * _PAIR) + now)
-
-
 def _fold(keys: np.ndarray, *sums: np.ndarray) -> tuple[np.ndarray, ...]:
     """Sorted distinct keys and the sums of their values."""
     order = np.argsort(keys)
@@ -119,63 +115,85 @@ def _merge_words(store: SortedStore):
     return run
 
 
-def _count_pairs(bits: int):
+def _numbers(words: SortedStore, firsts: np.ndarray, before: np.ndarray, now: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the tokens of pairs: from 1, in hash order; 0 is the start, -1 an unseen token."""
+    names, back = np.unique(np.concatenate([before, now]), return_inverse=True)
+    number = words.places(names, firsts)
+    number = np.where(number >= 0, number + 1, -1)
+    number[names == START] = 0
+    return number[back[:len(before)]], number[back[len(before):]]
+
+
+def pair_key(before: np.ndarray, now: np.ndarray) -> np.ndarray:
+    return tokens.mix(tokens.mix(before.astype(np.uint64) * _PAIR) + now.astype(np.uint64))
+
+
+def _count_pairs(words: SortedStore, firsts: np.ndarray, bits: int, width):
+    def folded(held: list) -> pa.RecordBatch:
+        keys, counts, before, now = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(keys)
+        keys = keys[order]
+        begun = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        at = order[begun]
+        return _blocks(keys[begun], bits, n=_narrow(np.add.reduceat(counts[order], begun)), before=before[at], now=now[at])
+
     def run(batches):
         held, size = [], 0
         for _, raw, offs in tokens.text_chunks(batches):
             now, before, _ = _pair_lists(raw, offs)
-            keys = pair_hash(before, now)
-            names, first, counts = np.unique(keys, return_index=True, return_counts=True)
-            held.append((names, counts, before[first], now[first]))
-            size += len(names)
+            before, now = (x.astype(width) for x in _numbers(words, firsts, before, now))
+            keys, first, counts = np.unique(pair_key(before, now), return_index=True, return_counts=True)
+            held.append((keys, counts, before[first], now[first]))
+            size += len(keys)
             if size > FOLD:
-                yield _pair_block(held, bits)
+                yield folded(held).drop_columns(["key"])
                 held, size = [], 0
         if held:
-            yield _pair_block(held, bits)
+            yield folded(held).drop_columns(["key"])
     return run
 
 
-def _pair_block(held: list, bits: int) -> pa.RecordBatch:
-    keys, counts, before, now = (np.concatenate(x) for x in zip(*held))
-    order = np.argsort(keys)
-    keys = keys[order]
-    begun = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    return _blocks(keys[begun], bits, n=_narrow(np.add.reduceat(counts[order], begun)), before=before[order[begun]], now=now[order[begun]])
-
-
-def _merge_pairs(store: SortedStore, context_bits: int):
+def _merge_pairs(pairs: SortedStore, often: SortedStore, firsts: np.ndarray, width):
     def run(table: pa.Table) -> pa.Table:
-        keys, counts = _joined(table, "key", np.uint64), _joined(table, "n", np.uint32).astype(np.int64)
+        before, now = _joined(table, "before", width), _joined(table, "now", width)
+        keys, counts = pair_key(before, now), _joined(table, "n", np.uint32).astype(np.int64)
         order = np.argsort(keys)
         keys = keys[order]
         begun = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        counts = np.add.reduceat(counts[order], begun)
+        counts, keys, at = np.add.reduceat(counts[order], begun), keys[begun], order[begun]
         shard = table.column("shard")[0].as_py()
-        store.write(shard, keys[begun], n=counts)
-        before, now = (_joined(table, c, np.uint64)[order[begun]] for c in ("before", "now"))
-        followed = _fold(before, *((counts == k).astype(np.uint32) for k in (1, 2)), (counts > 2).astype(np.uint32))
-        preceded = _fold(now, np.ones(len(now), np.uint32))
-        names = np.concatenate([followed[0], preceded[0]])
-        padded = [np.concatenate([f, np.zeros(len(preceded[0]), np.uint32)]) for f in followed[1:]]
-        padded.append(np.concatenate([np.zeros(len(followed[0]), np.uint32), preceded[1]]))
-        names, *sums = _fold(names, *padded)
-        block = _blocks(names, context_bits, **dict(zip(("one", "two", "more", "preceded"), (s.astype(np.uint32) for s in sums))))
+        pairs.write(shard, keys, n=np.minimum(counts, 255))
+        often.write(shard, keys[counts >= 255], n=counts[counts >= 255])
+        followed = _fold(before[at].astype(np.int64), *((counts == k).astype(np.int64) for k in (1, 2)), (counts > 2).astype(np.int64))
+        preceded = _fold(now[at].astype(np.int64), np.ones(len(at), np.int64))
+        numbers = np.concatenate([followed[0], preceded[0]])
+        none = [np.zeros(len(x[0]), np.int64) for x in (preceded, followed)]
+        numbers, *sums = _fold(numbers, *(np.concatenate([f, none[0]]) for f in followed[1:]), np.concatenate([none[1], preceded[1]]))
+        owner = np.searchsorted(firsts, np.maximum(numbers - 1, 0), side="right") - 1
+        cuts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True])
+        columns = {"number": numbers.astype(width), **dict(zip(_PARTS, map(_narrow, sums)))}
         seen = np.bincount(np.minimum(counts, 5), minlength=6)[1:5].tolist()
-        return pa.Table.from_batches([block]).append_column("seen", pa.array([seen] + [None] * (block.num_rows - 1), pa.list_(pa.int64())))
+        out = {"shard": pa.array(owner[cuts[:-1]])}
+        out |= {c: pa.array([v[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()) for c, v in columns.items()}
+        return pa.table(out | {"seen": pa.array([seen] + [None] * (len(cuts) - 2), pa.list_(pa.int64()))})
     return run
 
 
 _PARTS = ("one", "two", "more", "preceded")
 
 
-def _merge_contexts(store: SortedStore):
+def _merge_contexts(words: SortedStore, firsts: np.ndarray, width):
     def run(table: pa.Table) -> pa.Table:
-        names, *sums = _fold(_joined(table, "key", np.uint64), *(_joined(table, c, np.uint32).astype(np.int64) for c in _PARTS))
         shard = table.column("shard")[0].as_py()
-        store.write(shard, names, **{c: _narrow(s) for c, s in zip(_PARTS, sums)})
-        seen = np.bincount(np.minimum(sums[3], 5), minlength=6)[1:6].tolist()
-        return pa.table({"shard": [shard], "seen": [seen], "total": [int(sums[3].sum())]})
+        number = _joined(table, "number", width).astype(np.int64)
+        sums = {}
+        for column in _PARTS:
+            sums[column] = np.zeros(len(words.array(shard, "key")) + 1, np.int64)
+            np.add.at(sums[column], np.where(number > 0, number - firsts[shard], 0), _joined(table, column, np.uint32).astype(np.int64))
+            put(words.file(shard, column), _narrow(sums[column][1:]))
+        seen = np.bincount(np.minimum(sums["preceded"][1:], 5), minlength=6)[1:6].tolist()
+        start = [int(sums[c][0]) for c in _PARTS[:3]]
+        return pa.table({"shard": [shard], "seen": [seen], "total": [int(sums["preceded"].sum())], "start": [start]})
     return run
 
 
@@ -193,11 +211,13 @@ class Model:
     """Stores in the shared folder and the few global numbers of the model."""
 
     words: SortedStore
+    firsts: np.ndarray
     pairs: SortedStore
-    contexts: SortedStore
+    often: SortedStore
     total: int
     kinds: int
     texts: int
+    start: list[int]
     discounts: np.ndarray
     low_discounts: np.ndarray
     continuations: int
@@ -207,17 +227,22 @@ class Model:
         """log10 P(now | before), and the training counts of `now`."""
         names, back = np.unique(np.concatenate([now, before]), return_inverse=True)
         now_at, before_at = back[:len(now)], back[len(now):]
-        count = self.words.find(names)[1]["n"]
-        parts = {c: v.astype(np.float64) for c, v in self.contexts.find(names)[1].items()}
-        of_context = np.where(names == START, self.texts, count).astype(np.float64)
+        parts = {c: v.astype(np.float64) for c, v in self.words.find(names)[1].items()}
+        first = names == START
+        for column, value in zip(("n", "one", "two", "more"), (self.texts, *self.start)):
+            parts[column][first] = value
         kept = np.maximum(parts["preceded"] - self.low_discounts[np.minimum(parts["preceded"], 3).astype(np.int64)], 0)
         low = kept / max(self.continuations, 1) + self.low_rest / (self.kinds + 1)
         freed = self.discounts[1] * parts["one"] + self.discounts[2] * parts["two"] + self.discounts[3] * parts["more"]
-        rest = np.where(of_context > 0, freed / np.maximum(of_context, 1), 1.0)
-        keys, pair_at = np.unique(pair_hash(before, now), return_inverse=True)
-        seen = self.pairs.find(keys)[1]["n"].astype(np.float64)[pair_at]
-        high = np.maximum(seen - self.discounts[np.minimum(seen, 3).astype(np.int64)], 0) / np.maximum(of_context[before_at], 1)
-        return np.log10(high + rest[before_at] * low[now_at]), count[now_at]
+        rest = np.where(parts["n"] > 0, freed / np.maximum(parts["n"], 1), 1.0)
+        keys, pair_at = np.unique(pair_key(*_numbers(self.words, self.firsts, before, now)), return_inverse=True)
+        seen = self.pairs.find(keys)[1]["n"].astype(np.int64)
+        many = np.flatnonzero(seen == 255)
+        seen[many] = self.often.find(keys[many])[1]["n"]
+        seen = seen.astype(np.float64)[pair_at]
+        high = np.maximum(seen - self.discounts[np.minimum(seen, 3).astype(np.int64)], 0) / np.maximum(parts["n"][before_at], 1)
+        count = np.where(first, 0, parts["n"])[now_at]
+        return np.log10(high + rest[before_at] * low[now_at]), count
 
 
 def train(documents: DataFrame) -> Model:
@@ -226,24 +251,30 @@ def train(documents: DataFrame) -> Model:
     texts = documents.select("text")
     rows, size = texts.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     root = new_path(spark, "model")
-    least = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
-    bits = shard_bits(rows + size // 6, SHARD_ENTRIES, least)
-    words = SortedStore(root, "words", bits, {"n": np.int64})
+    bits = shard_bits(rows + size // 6, SHARD_ENTRIES, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
+    words = SortedStore(root, "words", bits, {"n": np.int64, **dict.fromkeys(_PARTS, np.uint32)})
     counted = texts.mapInArrow(_count_words(bits), "shard long, key binary, n binary").groupBy("shard").applyInArrow(
-        _merge_words(words), "shard long, kinds long, total long").agg(F.sum("kinds"), F.sum("total")).first()
-    kinds, total = counted[0] or 0, counted[1] or 0
-
-    pairs = SortedStore(root, "pairs", bits, {"n": np.uint32})
-    contexts = SortedStore(root, "contexts", shard_bits(kinds + 1, SHARD_ENTRIES // 2, least), {c: np.uint32 for c in _PARTS})
-    schema = "shard long, key binary, one binary, two binary, more binary, preceded binary"
-    merged = stage(texts.mapInArrow(_count_pairs(bits), "shard long, key binary, n binary, before binary, now binary").groupBy("shard").applyInArrow(
-        _merge_pairs(pairs, contexts.bits), schema + ", seen array<long>"), "contexts")
+        _merge_words(words), "shard long, kinds long, total long").collect()
+    kinds, total = sum(r.kinds for r in counted), sum(r.total for r in counted)
+    sizes = np.zeros(1 << bits, np.int64)
+    for r in counted:
+        sizes[r.shard] = r.kinds
+    firsts = np.cumsum(sizes) - sizes
+    width = np.uint32 if kinds < 2**32 - 1 else np.uint64
+
+    pairs, often = SortedStore(root, "pairs", bits, {"n": np.uint8}), SortedStore(root, "often", bits, {"n": np.int64})
+    schema = "shard long, number binary, " + ", ".join(f"{c} binary" for c in _PARTS)
+    blocks = texts.mapInArrow(_count_pairs(words, firsts, bits, width), "shard long, n binary, before binary, now binary")
+    merged = stage(blocks.groupBy("shard").applyInArrow(_merge_pairs(pairs, often, firsts, width), schema + ", seen array<long>"), "contexts")
     seen = merged.select(*(F.coalesce(F.sum(F.col("seen")[k]), F.lit(0)) for k in range(4))).first()
-    lower = merged.drop("seen").groupBy("shard").applyInArrow(_merge_contexts(contexts), "shard long, seen array<long>, total long")
-    lower = lower.select(*(F.coalesce(F.sum(F.col("seen")[k]), F.lit(0)) for k in range(5)), F.coalesce(F.sum("total"), F.lit(0))).first()
+    done = merged.drop("seen").groupBy("shard").applyInArrow(
+        _merge_contexts(words, firsts, width), "shard long, seen array<long>, total long, start array<long>").collect()
+    lower = [sum(r.seen[k] for r in done) for k in range(5)]
+    continuations = sum(r.total for r in done)
+    start = [sum(r.start[k] for r in done) for k in range(3)]
     low = _discounts(lower[:4])
     freed = low[1] * lower[0] + low[2] * lower[1] + low[3] * (lower[2] + lower[3] + lower[4])
-    return Model(words, pairs, contexts, total, kinds, rows, _discounts(seen), low, lower[5], freed / lower[5] if lower[5] else 1.0)
+    return Model(words, firsts, pairs, often, total, kinds, rows, start, _discounts(seen), low, continuations, freed / continuations if continuations else 1.0)
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:

@@ -85,6 +85,19 @@ class SortedStore:
             self.open[shard, column] = get(self.file(shard, column), np.uint64 if column == "key" else self.columns[column])
         return self.open[shard, column]
 
+    def places(self, keys: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+        """For sorted keys: their place in the whole sorted array (`firsts` has the place of each shard's first key), or -1."""
+        out = np.full(len(keys), -1, np.int64)
+        shards = self.shards_of(keys)
+        for shard in np.unique(shards):
+            lo, hi = np.searchsorted(shards, [shard, shard + 1])
+            held = self.array(int(shard), "key")
+            if len(held):
+                at = np.searchsorted(held, keys[lo:hi])
+                at[at == len(held)] = 0
+                out[lo:hi] = np.where(np.asarray(held[at]) == keys[lo:hi], at + firsts[shard], -1)
+        return out
+
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
         """For sorted keys: which of them the store has, and their values (0 for the others)."""
         found = np.zeros(len(keys), bool)

@@ -1,3 +1,81 @@
-"""Reference SQL (DuckDB) of the queries that SQL can express."""
+"""Reference SQL (DuckDB) of the queries that SQL can express over whole tables.
 
-ORACLES: dict[str, str] = {}
+Scoring by a language model, compression, profiles, merges, entropy and bootstrapping are not expressed here: their tests compare
+with plain versions in Python, a library's result, an exact round trip, or held-out accuracy.
+"""
+
+_INK = r"[^\x20\x09-\x0D]+"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _lower(text: str) -> str:
+    return f"translate({text}, '{_UPPER}', '{_UPPER.lower()}')"
+
+
+_NEAR = f"""WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all({_lower("coalesce(text, '')")}, '{_INK}') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END) AS s
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM shingles a JOIN shingles b USING (s) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common >= 80 * (x.n + y.n - common)),
+either AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.b FROM reached r JOIN either e ON r.other = e.a)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id"""
+
+_SUBSTRINGS = f"""WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_INK}') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words)),
+again AS (SELECT k FROM windows GROUP BY k HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, i + j AS i FROM windows JOIN again USING (k), unnest(range(35)) AS t(j)),
+listed AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM words),
+kept AS (
+  SELECT l.doc_id, count(g.i) AS n_removed, string_agg(word, ' ' ORDER BY l.i) FILTER (g.i IS NULL) AS kept
+  FROM listed l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i GROUP BY l.doc_id)
+SELECT doc_id, CAST(len(w) AS bigint) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)"""
+
+_QUALITY = f"""WITH words AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_INK}') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM words)),
+again AS (SELECT doc_id, k FROM windows GROUP BY ALL HAVING count(*) > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT i + j) AS n FROM windows JOIN again USING (doc_id, k), unnest(range(5)) AS t(j) GROUP BY doc_id),
+lines AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{_INK}')) AS l FROM words),
+measures AS (
+  SELECT doc_id, text, CAST(len(w) AS bigint) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS bigint) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS bigint) AS n_symbols,
+         CAST(len(l) - len(list_distinct(l)) AS bigint) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+  FROM words JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
+judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measures)
+SELECT * EXCLUDE (text), NOT (
+  base_failed OR 2 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+  OR 2 * len(regexp_extract_all(text, '[A-Z]')) > word_chars OR 10 * n_dup_lines > 3 * len(string_split(text, chr(10)))) AS kept
+FROM judged"""
+
+_SPACED = "regexp_extract_all(" + _lower("coalesce(text, '')") + r", '[a-z0-9\x{80}-\x{10FFFF}]+')"
+_FIVES = """CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+              WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END"""
+
+_LEAKS = f"""WITH items AS (
+  SELECT DISTINCT item_id, unnest({_FIVES}) AS s FROM (SELECT item_id, {_SPACED} AS w FROM benchmark)),
+sizes AS (SELECT item_id, count(*) AS n FROM items GROUP BY item_id),
+docs AS (SELECT DISTINCT doc_id, unnest({_FIVES}) AS s FROM (SELECT doc_id, {_SPACED} AS w FROM documents)),
+shared AS (SELECT doc_id, item_id, count(*) AS common FROM docs JOIN items USING (s) GROUP BY ALL),
+found AS (
+  SELECT doc_id, item_id, CAST(common AS double) / n AS containment FROM shared JOIN sizes USING (item_id) WHERE 10 * common >= 8 * n
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY CAST(common AS double) / n DESC, item_id) = 1)
+SELECT doc_id, item_id, containment, item_id IS NOT NULL AS contaminated FROM documents LEFT JOIN found USING (doc_id)"""
+
+ORACLES: dict[str, str] = {
+    "op4_near_dedup": _NEAR,
+    "op6_substring_dedup": _SUBSTRINGS,
+    "op8_quality_rules": _QUALITY,
+    "op9_decontamination": _LEAKS,
+}

@@ -33,8 +33,7 @@ MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 _LITERAL_MARK = 0x110000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_CACHED_WORDS = 200_000
-_LONG_WORD = 32
+_CACHED_WORDS = 150_000
 
 
 def _merged(symbols: list[str], rank: dict[str, int]) -> list[tuple[str, str, str]]:
@@ -78,6 +77,7 @@ class Pieces:
         self.byte_ids = {int(p.piece[3:5], 16): i for i, p in enumerate(spec.pieces) if p.type == kinds.BYTE}
         if len(self.byte_ids) != 256:
             raise ValueError("the piece file has no byte pieces")
+        self.of_byte = np.array([self.byte_ids[b] for b in range(256)], np.int32)
         runs = {text[i]: i for i in normal if set(text[i]) == {MARK}}
         words = [i for i in normal if len(text[i]) == 1 or text[i] not in runs]
         if any(MARK in text[i][1:] for i in words) or max(spec.pieces[i].score for k, i in runs.items() if len(k) == 2) >= min(spec.pieces[i].score for i in words if len(text[i]) > 1):
@@ -108,6 +108,8 @@ class Pieces:
         self.hash_keys, self.hash_ranks = hashes[order], order
         if len(np.unique(self.hash_keys)) != len(order):
             raise ValueError("two pieces share a hash")
+        self.hash_tops = np.zeros(1 << 20, bool)
+        self.hash_tops[(self.hash_keys >> np.uint64(44)).astype(np.int64)] = True
         inner = np.arange(self.longest - 1) < self.sizes[:, None] - 1
         self.joined = np.unique((self.points[:, :-1] << 21 | self.points[:, 1:])[inner])
 
@@ -122,10 +124,11 @@ class Pieces:
         self.out_starts = np.cumsum(self.out_sizes) - self.out_sizes
         self.out_bytes = np.frombuffer(b"".join(data), np.uint8)
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.runs: dict[int, bytes] = {}
 
     def __getstate__(self):
-        return {**self.__dict__, "cache": {}, "runs": {}}
+        return {**self.__dict__, "cache": {}, "old": {}, "runs": {}}
 
     def apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether the pieces of these ranks stay side by side when their characters are merged together."""
@@ -152,88 +155,91 @@ class Pieces:
     def _segment(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For words of one length (rows of code points): rank and length of the last piece of every prefix."""
         rows, n = points.shape
-        none = len(self.ids)
-        last = np.full((rows, n + 1), none, np.int64)
+        last = np.full((rows, n + 1), len(self.ids), np.int64)
         back = np.ones((rows, n + 1), np.int8)
-        prefix, powers = _prefix_hashes(points)
-        found = {}
+        prefix, inverse = _prefix_hashes(points)
+        found = []
         for size in range(1, min(self.longest, n) + 1):
-            keys = tokens.mix((prefix[:, size:] - prefix[:, :n - size + 1]) * _inverse(powers, n - size + 1) + np.uint64(size))
+            keys = tokens.mix((prefix[:, size:] - prefix[:, :n - size + 1]) * inverse[:n - size + 1] + np.uint64(size))
+            row, place = np.nonzero(self.hash_tops[(keys >> np.uint64(44)).astype(np.int64)])
+            keys = keys[row, place]
             at = np.searchsorted(self.hash_keys, keys)
             at[at == len(self.hash_keys)] = 0
-            row, place = np.nonzero(self.hash_keys[at] == keys)
-            ranks = self.hash_ranks[at[row, place]]
+            hit = np.flatnonzero(self.hash_keys[at] == keys)
+            row, place, ranks = row[hit], place[hit], self.hash_ranks[at[hit]]
             real = (self.sizes[ranks] == size) & (self.points[ranks, :size] == points[row[:, None], place[:, None] + np.arange(size)]).all(axis=1)
-            row, place, ranks = row[real], place[real], ranks[real]
-            order = np.argsort(place, kind="stable")
-            found[size] = (row[order], ranks[order], np.searchsorted(place[order], np.arange(n - size + 2)))
+            found.append((row[real], ranks[real], place[real], place[real] + size))
+        row, ranks, begins, ends = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(ends, kind="stable")
+        row, ranks, begins = row[order], ranks[order], begins[order]
+        cuts = np.searchsorted(ends[order], np.arange(n + 2))
         for end in range(1, n + 1):
-            for size in range(1, min(self.longest, end) + 1):
-                row, ranks, cuts = found[size]
-                row, ranks = (x[cuts[end - size]:cuts[end - size + 1]] for x in (row, ranks))
-                if len(row):
-                    fits = self.apart(last[row, end - size], ranks)
-                    last[row[fits], end], back[row[fits], end] = ranks[fits], size
+            here = slice(cuts[end], cuts[end + 1])
+            fits = np.flatnonzero(self.apart(last[row[here], begins[here]], ranks[here])) + cuts[end]
+            last[row[fits], end], back[row[fits], end] = ranks[fits], end - begins[fits]
         return last, back
 
-    def _learn(self, words: list[str]) -> None:
-        """Put the ids of these words (each with its space mark in front) into the cache."""
-        by_size: dict[int, list[tuple[str, int]]] = {}
-        parts: dict[str, list] = {}
-        for word in words:
-            points = np.frombuffer((MARK + word).encode("utf-32-le"), np.uint32).astype(np.int64)
-            points[1:][points[1:] == ord(MARK)] = _LITERAL_MARK
-            cuts = [0, len(points)]
-            if len(points) > _LONG_WORD:
-                pair = points[:-1] << 21 | points[1:]
-                at = np.searchsorted(self.joined, pair)
-                at[at == len(self.joined)] = 0
-                cuts = [0, *(np.flatnonzero(self.joined[at] != pair) + 1).tolist(), len(points)]
-            parts[word] = [points[a:b] for a, b in zip(cuts, cuts[1:])]
-            for k, p in enumerate(parts[word]):
-                by_size.setdefault(len(p), []).append((word, k))
-        for size, places in by_size.items():
-            step = max(1, (1 << 18) // size)
-            for i in range(0, len(places), step):
-                now = places[i:i + step]
-                points = np.stack([parts[w][k] for w, k in now])
-                for (word, k), ids in zip(now, self._read(points)):
-                    parts[word][k] = ids
-        for word, done in parts.items():
-            self.cache[word] = b"".join(done)
-
-    def _read(self, points: np.ndarray) -> list[bytes]:
-        """Follow the backpointers from the end; characters without a piece become bytes."""
+    def _read(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Follow the backpointers from the end; characters without a piece become bytes. Ids of all rows, and how many each has."""
         last, back = self._segment(points)
         rows, n = points.shape
-        at = np.full(rows, n)
-        every = np.arange(rows)
+        every, at = np.arange(rows), np.full(rows, n)
         steps = []
-        while (at > 0).any():
+        while at.any():
             live = at > 0
-            steps.append(np.where(live, last[every, at], -1))
-            at = np.where(live, at - back[every, at], at)
-        chosen = np.stack(steps[::-1], axis=1) if steps else np.zeros((rows, 0), np.int64)
-        known = chosen < len(self.ids)
-        ids = np.where(known, self.ids[np.where(known & (chosen >= 0), chosen, 0)], -1).astype(np.int32)
-        out = []
-        strange = (~known).any(axis=1)
-        for i in range(rows):
-            keep = chosen[i] >= 0
-            if not strange[i]:
-                out.append(ids[i][keep].tobytes())
-                continue
-            held, place = [], 0
-            for rank in chosen[i][keep].tolist():
-                if rank < len(self.ids):
-                    held.append(int(self.ids[rank]))
-                    place += int(self.sizes[rank])
-                else:
-                    point = int(points[i, place])
-                    held += [self.byte_ids[b] for b in (MARK if point == _LITERAL_MARK else chr(point)).encode("utf-8")]
-                    place += 1
-            out.append(np.array(held, np.int32).tobytes())
-        return out
+            steps.append((np.where(live, last[every, at], -1), at - 1))
+            at = np.where(live, at - back[every, at], 0)
+        chosen, place = (np.stack(x[::-1], axis=1) for x in zip(*steps))
+        row, step = np.nonzero(chosen >= 0)
+        ranks, point = chosen[row, step], points[row, place[row, step]]
+        known = ranks < len(self.ids)
+        point = np.where(point == _LITERAL_MARK, ord(MARK), point)
+        sizes = np.where(known, 1, 1 + (point > 0x7F) + (point > 0x7FF) + (point > 0xFFFF))
+        ids = np.repeat(np.where(known, self.ids[np.where(known, ranks, 0)], -1), sizes).astype(np.int32)
+        strange = np.flatnonzero(ids < 0)
+        if len(strange):
+            data = np.frombuffer("".join(map(chr, point[~known].tolist())).encode("utf-8"), np.uint8)
+            ids[strange] = self.of_byte[data]
+        return ids, np.bincount(row, sizes, rows).astype(np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        """Put the ids of these words (each with its space mark in front) into the cache."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        starts = np.cumsum(sizes) - sizes
+        points = np.frombuffer((MARK + MARK.join(words)).encode("utf-32-le"), np.uint32).astype(np.int64)
+        literal = points == ord(MARK)
+        literal[starts] = False
+        points[literal] = _LITERAL_MARK
+        # no piece reaches over two characters that are side by side in none, so words are cut there
+        pair = points[:-1] << 21 | points[1:]
+        at = np.searchsorted(self.joined, pair)
+        at[at == len(self.joined)] = 0
+        cut = np.r_[True, self.joined[at] != pair]
+        cut[starts] = True
+        begins = np.flatnonzero(cut)
+        lengths = np.diff(np.r_[begins, len(points)])
+        prefix, inverse = _prefix_hashes(points[None, :])
+        names = (prefix[0, begins + lengths] - prefix[0, begins]) * inverse[begins] + lengths.astype(np.uint64)
+        _, first, back = np.unique(names, return_index=True, return_inverse=True)
+        begins, lengths = begins[first], lengths[first]
+        held, counts, owners = [], [], []
+        for size in np.unique(lengths).tolist():
+            units = np.flatnonzero(lengths == size)
+            step = max(1, (1 << 18) // size)
+            for i in range(0, len(units), step):
+                now = units[i:i + step]
+                ids, n = self._read(points[begins[now][:, None] + np.arange(size)])
+                held.append(ids)
+                counts.append(n)
+                owners.append(now)
+        held, counts, owners = np.concatenate(held), np.concatenate(counts), np.concatenate(owners)
+        offsets, total = np.empty(len(first), np.int64), np.empty(len(first), np.int64)
+        offsets[owners], total[owners] = np.cumsum(counts) - counts, counts
+        flat = held[np.repeat(offsets[back], total[back]) + tokens.ramp(total[back])].tobytes()
+        ends = np.cumsum(total[back])
+        of_word = 4 * ends[np.searchsorted(np.flatnonzero(cut), starts + sizes) - 1]
+        bounds = [0, *of_word.tolist()]
+        self.cache.update(zip(words, (flat[a:b] for a, b in zip(bounds, bounds[1:]))))
 
     def _spaces(self, count: int) -> bytes:
         """Ids of `count` space marks in a row."""
@@ -247,12 +253,15 @@ class Pieces:
         """Ids of each text as little-endian 32-bit integers."""
         split = [t.split(" ") if t else [] for t in texts]
         if len(self.cache) > _CACHED_WORDS:
-            self.cache.clear()
+            self.old, self.cache = self.cache, {}
             self.runs.clear()
         new = set(chain.from_iterable(split)).difference(self.cache)
         new.discard("")
+        for word in new.intersection(self.old):
+            self.cache[word] = self.old[word]
+        new.difference_update(self.old)
         if new:
-            self._learn(sorted(new))
+            self._learn(list(new))
         mark = np.int32(self.run_ids[MARK]).tobytes()
         out = []
         for words in split:
@@ -281,19 +290,12 @@ class Pieces:
         return [data[a:b].removeprefix(b" ") for a, b in zip(cuts, cuts[1:])]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return tokens._powers_to(int(_BASE), n)
-
-
-def _inverse(powers, n: int) -> np.ndarray:
-    return powers[1][:n]
-
-
-def _prefix_hashes(points: np.ndarray):
-    powers = _powers(points.shape[1] + 1)
+def _prefix_hashes(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash sums of the prefixes of each row, and the inverse powers that move a difference of two to the row's start."""
+    powers, inverse = tokens._powers_to(int(_BASE), points.shape[1] + 1)
     prefix = np.zeros((len(points), points.shape[1] + 1), np.uint64)
-    np.cumsum(tokens.mix(points.astype(np.uint64) + np.uint64(1)) * powers[0][:points.shape[1]], axis=1, out=prefix[:, 1:])
-    return prefix, powers
+    np.cumsum(tokens.mix(points.astype(np.uint64) + np.uint64(1)) * powers[:points.shape[1]], axis=1, out=prefix[:, 1:])
+    return prefix, inverse
 
 
 def _substring_hashes(points: np.ndarray, sizes: np.ndarray) -> np.ndarray:

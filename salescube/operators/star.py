@@ -22,10 +22,9 @@ def fold_sales(fact: DataFrame, *keys: str) -> DataFrame:
 
 
 def store_dimension(stores: DataFrame, networks: DataFrame, *columns: str) -> DataFrame:
-    """Stores with their reporting network; a store missing from either table is left out."""
-    return stores.select("global_pos_code", *columns).join(
-        networks.select("global_pos_code", "network_subname_alt"), "global_pos_code", "inner"
-    )
+    """Stores with their reporting network; a store missing from either table is left out. Networks are measured first."""
+    (named,) = bounded_broadcast(networks.select("global_pos_code", "network_subname_alt"))
+    return stores.select("global_pos_code", *columns).join(named, "global_pos_code", "inner")
 
 
 def star_join(sales: DataFrame, skus: DataFrame, stores: DataFrame) -> DataFrame:

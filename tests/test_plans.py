@@ -24,7 +24,7 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["rollup_grouping_sets", "ped_summary", "price_points_sql", "change_formatted", "databook_table"])
+@pytest.mark.parametrize("name", ["rollup_grouping_sets", "ped_summary", "price_points_sql", "change_formatted", "databook_table", "report_numbering", "report_pivot", "sales_report"])
 def test_no_python_in_the_plan(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))
     assert not re.search(r"Python|Pandas|Arrow", text)
@@ -48,6 +48,18 @@ def test_rollup_folds_before_it_joins_and_expands(spark):
     ]
 
 
+@pytest.mark.parametrize("name", ["store_week_prices", "price_points_sql"])
+def test_study_folds_before_it_joins_the_dimensions(spark, name):
+    operators = re.findall(r"(BroadcastHashJoin|SortMergeJoin|FileScan parquet|HashAggregate|Exchange)", plan(QUERIES[name](spark, SF_DIR)))
+    branch = operators[: operators.index("FileScan parquet") + 1][::-1]
+    # two joins give the test tables' sales their codes; then the fold around one exchange, then products and stores
+    assert branch[:8] == ["FileScan parquet", "BroadcastHashJoin", "BroadcastHashJoin", "HashAggregate", "Exchange", "HashAggregate", "BroadcastHashJoin", "BroadcastHashJoin"]
+
+
+def test_numbering_has_few_exchanges(spark):
+    assert len(re.findall(r"\bExchange\b", plan(QUERIES["report_numbering"](spark, SF_DIR)))) <= 8
+
+
 def test_rollup_reads_only_the_columns_it_needs(spark):
     text = plan(build_rollup(fine_star(spark, SF_DIR)))
     scanned = {re.sub(r"#.*", "", c) for c in re.search(r"FileScan parquet \[(l_[^\]]*)\]", text).group(1).split(",")}

@@ -59,7 +59,7 @@ def get(uri: str, dtype) -> np.ndarray:
 def shard_bits(entries: int, per_shard: int, least: int = 1) -> int:
     """Top bits that give shards of about `per_shard` entries each, `least` shards or more."""
     shards = max(least, -(-entries // per_shard), 1)
-    return min(16, (shards - 1).bit_length())
+    return min(24, (shards - 1).bit_length())
 
 
 class SortedStore:

@@ -56,7 +56,7 @@ measures AS (
 judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measures)
 SELECT * EXCLUDE (text), NOT (
   base_failed OR 2 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 15 * n_words
-  OR 2 * len(regexp_extract_all(text, '[A-Z]')) > word_chars OR 10 * n_dup_lines > 3 * len(string_split(text, chr(10)))) AS kept
+  OR 2 * len(regexp_extract_all(text, '[A-Z]')) > word_chars OR 2 * n_dup_lines > len(string_split(text, chr(10)))) AS kept
 FROM judged"""
 
 _SPACED = "regexp_extract_all(" + _lower("coalesce(text, '')") + r", '[a-z0-9\x{80}-\x{10FFFF}]+')"

@@ -71,7 +71,7 @@ def _rules(m: dict[str, str], text: str) -> dict[str, str]:
         "symbols": f"2 * {m['n_symbols']} > {m['n_words']}",
         "word_length": f"{m['word_chars']} < 2 * {m['n_words']} or {m['word_chars']} > 15 * {m['n_words']}",
         "shouting": f"2 * regexp_count({whole}, '[A-Z]') > {m['word_chars']}",
-        "dup_lines": f"10 * {m['n_dup_lines']} > 3 * size(split({whole}, '\\n'))",
+        "dup_lines": f"2 * {m['n_dup_lines']} > size(split({whole}, '\\n'))",
         "repeat_words": f"100 * {m['n_repeat_words']} > 20 * {m['n_words']}",
     }
 

@@ -18,7 +18,7 @@ def brute(text):
     dup = len(lines) - len(set(lines))
     failed = len(w) < 10 or 100 * len(covered) > 20 * len(w)
     rejected = failed or 2 * symbols > len(w) or not 2 * len(w) <= chars <= 15 * len(w) or 2 * len(re.findall("[A-Z]", text)) > chars \
-        or 10 * dup > 3 * len(text.split("\n"))
+        or 2 * dup > len(text.split("\n"))
     return len(w), chars, symbols, dup, len(covered), failed, not rejected
 
 

@@ -132,11 +132,15 @@ def fit(texts: list[bytes], toxic: list[int]) -> Model:
 def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on the sample of documents (doc_id, text) that labels (doc_id, toxic) cover."""
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    rows = documents.where(f"octet_length(text) <= {SAMPLE_BYTES}").select("doc_id", F.col("text").cast("binary").alias("text")).join(known, "doc_id")
-    held = []
+    short = documents.where(f"octet_length(text) <= {SAMPLE_BYTES}")
+    ids = short.select("doc_id").join(known, "doc_id").distinct()
+    picked = []
     for kind in (0, 1):
-        held += rows.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample).collect()
-    return fit([bytes(r.text) for r in held], [r.toxic for r in held])
+        picked += ids.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()
+    chosen = F.broadcast(documents.sparkSession.createDataFrame(picked, ids.schema))  # two ids per sampled text at most
+    texts = short.select("doc_id", F.col("text").cast("binary").alias("text")).join(chosen, "doc_id").groupBy("doc_id").agg(
+        F.min("text").alias("text"), F.max("toxic").alias("toxic")).collect()
+    return fit([bytes(r.text) for r in texts], [r.toxic for r in texts])
 
 
 def _score(model: Model):

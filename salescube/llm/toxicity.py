@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 from salescube.llm import tokens
 
 SAMPLE, SAMPLE_BYTES = 2_000, 32_000
-SIGNIFICANT, SHARE = 4.0, 0.05
+SIGNIFICANT, SHARE = 3.0, 0.05
 WINDOW, CLEAR, THRESHOLD = 8, 2, 0.7
 DICTIONARY_BYTES = 1 << 13
 LEVEL = 5

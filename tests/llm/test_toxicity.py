@@ -20,9 +20,9 @@ def test_held_out_texts_with_toxic_words_are_found(spark):
 def test_dictionary_holds_the_distinctive_words():
     rng = np.random.default_rng(3)
     vocabulary = ["".join(rng.choice(list("abcdef"), 5)) for _ in range(300)]
-    plain = [" ".join(rng.choice(vocabulary, 60)) for _ in range(200)]
+    plain = [" ".join(rng.choice(vocabulary, 60)) for _ in range(400)]
     bad = [t + " " + " ".join(rng.choice(["nastyword", "vileword"], 3)) for t in plain[:60]]
-    model = toxicity.fit([t.encode() for t in plain[60:] + bad], [0] * 140 + [1] * 60)
+    model = toxicity.fit([t.encode() for t in plain[60:] + bad], [0] * 340 + [1] * 60)
     assert b"nastyword" in model.toxic and b"nastyword" not in model.ordinary
     fresh = " ".join(rng.choice(vocabulary, 40))
     assert model.score((fresh + " vileword! " + fresh + " NASTYWORD vileword").encode()) > 0.7 > model.score(fresh.encode())

@@ -3,8 +3,9 @@
 Fit, on the driver, on a bounded sample of labelled rows (`SAMPLE` texts per class of at most `SAMPLE_BYTES` bytes each, those with
 the smallest hash of doc_id):
 1. A zstandard dictionary is trained on the ordinary texts. The toxic dictionary holds, in front of the same content, the words
-   that toxic texts have significantly more often than ordinary ones (log-odds over `SIGNIFICANT` standard errors, in at least
-   `SHARE` of the distinct toxic texts). Matches with ordinary content cost the same with either, so the lengths differ by toxic
+   that toxic texts have significantly more often than ordinary ones (exact one-sided test, p below `SIGNIFICANT` over the number of
+   words tried), if all their runs of `PIECE` bytes are in toxic texts at `LIFT` times the ordinary share or more (matches of
+   compression need no whole word). Matches with ordinary content cost the same with either, so the lengths differ by toxic
    content alone.
 2. Windows of `WINDOW` words are compressed with both. A text's measures are its largest gain, the mean of its three largest,
    its mean gain, and the logarithm of the number of windows that gain `CLEAR` bytes or more.
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 from salescube.llm import tokens
 
 SAMPLE, SAMPLE_BYTES = 2_000, 32_000
-SIGNIFICANT, SHARE = 4.0, 0.05
+SIGNIFICANT, PIECE, LIFT = 0.01, 6, 6.0
 WINDOW, CLEAR, THRESHOLD = 8, 2, 0.7
 DICTIONARY_BYTES = 1 << 13
 LEVEL = 5
@@ -45,18 +46,44 @@ def _words(text: bytes) -> list[bytes]:
     return _WORD.findall(text.translate(_LOWER))
 
 
+def _log_choose(n: int, k: int) -> float:
+    return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+
+
+def _log_p(n: int, held: int, toxic: int, total: int) -> float:
+    """Log of the chance that n or more of the `held` texts with a word are among the `toxic` ones of `total` (Fisher's exact test)."""
+    term = tail = 1.0
+    for i in range(n, min(held, toxic)):
+        term *= (toxic - i) * (held - i) / ((i + 1) * (total - toxic - held + i + 1))
+        tail += term
+        if term < 1e-12 * tail:
+            break
+    return _log_choose(toxic, n) + _log_choose(total - toxic, held - n) - _log_choose(total, held) + math.log(tail)
+
+
+def _pieces(word: bytes) -> set[bytes]:
+    word = b" " + word + b" "
+    return {word[i:i + PIECE] for i in range(max(1, len(word) - PIECE + 1))}
+
+
 def distinctive_words(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> list[bytes]:
     """Words of toxic texts by significance, the strongest last (nearest to the content that follows)."""
-    seen = [Counter(), Counter()]
-    for held, texts in zip(seen, (ordinary, toxic)):
-        for words in texts:
-            held.update({w.strip(_EDGES) for w in words} - {b""})
+    texts = [[{w.strip(_EDGES) for w in words} - {b""} for words in side] for side in (ordinary, toxic)]
+    seen = [Counter(w for words in side for w in words) for side in texts]
+    total, limit = len(toxic) + len(ordinary), math.log(SIGNIFICANT / max(1, len(seen[1])))
     strength = {}
     for word, n in seen[1].items():
-        if n >= SHARE * len(toxic):
-            a, b = n + 0.5, seen[0][word] + 0.5
-            strength[word] = (math.log(a / (len(toxic) + 1)) - math.log(b / (len(ordinary) + 1))) / math.sqrt(1 / a + 1 / b)
-    return [w for s, w in sorted((s, w) for w, s in strength.items() if s > SIGNIFICANT)]
+        held = n + seen[0][word]
+        if n * total > held * len(toxic) and (p := _log_p(n, held, len(toxic), total)) < limit:
+            strength[word] = -p
+    wanted = set().union(*map(_pieces, strength))
+    parts = {w: _pieces(w) & wanted for w in seen[0].keys() | seen[1].keys()} if wanted else {}
+    shares = [Counter(x for words in side for x in set().union(*(parts[w] for w in words))) if wanted else {} for side in texts]
+
+    def clear(word: bytes) -> bool:
+        return all(shares[1][x] * len(ordinary) >= LIFT * shares[0][x] * len(toxic) for x in _pieces(word))
+
+    return [w for s, w in sorted((s, w) for w, s in strength.items()) if clear(w)]
 
 
 def _content(samples: list[bytes]) -> bytes:

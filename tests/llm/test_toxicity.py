@@ -39,3 +39,14 @@ def test_defined_cases(spark):
     assert toxicity.scored(frame(spark, []), none).count() == 0
     both = toxicity.fit([b"", b"a b c", b"x y"], [0, 0, 1])
     assert 0 <= both.score(b"") <= 1
+
+
+def test_small_training_samples_find_held_out_texts(spark):
+    path = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{path}/labels.parquet").select("doc_id", "toxic")
+    rows = toxicity.op2_toxicity(spark, path).where("held_out").join(labels, "doc_id").collect()
+    called = [r.toxic for r in rows if r.predicted]
+    assert len(called) >= 0.45 * sum(r.toxic for r in rows) and sum(called) > 0.9 * len(called)
+    # a word in 20 of 49 toxic and 0 of 335 ordinary texts is significant, one in a single toxic text is not
+    toxic = [[b"vile"] * (i < 20) + [b"once"] * (i == 0) + [b"a"] for i in range(49)]
+    assert toxicity.distinctive_words(toxic, [[b"a"]] * 335) == [b"vile"]

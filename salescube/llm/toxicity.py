@@ -2,16 +2,18 @@
 
 Fit, on the driver, on a bounded sample of labelled rows (`SAMPLE` texts per class of at most `SAMPLE_BYTES` bytes each, those with
 the smallest hash of doc_id):
-1. A zstandard dictionary is trained on the ordinary texts. The toxic dictionary holds, in front of the same content, the words
+1. A zstandard dictionary is trained on the ordinary texts. The toxic word dictionary holds, in front of the same content, the words
    that toxic texts have significantly more often than ordinary ones (exact one-sided test, p below `SIGNIFICANT` over the number of
    words tried), if all their runs of `PIECE` bytes are in toxic texts at `LIFT` times the ordinary share or more (matches of
    compression need no whole word). Matches with ordinary content cost the same with either, so the lengths differ by toxic
-   content alone.
-2. Windows of `WINDOW` words are compressed with both. A text's measures are its largest gain, the mean of its three largest,
-   its mean gain, and the logarithm of the number of windows that gain `CLEAR` bytes or more.
+   content alone. Windows of `WINDOW` words are compressed with both. A text's measures are its largest gain, the mean of its three
+   largest, its mean gain, and the logarithm of the number of windows that gain `CLEAR` bytes or more.
+2. Two more zstandard dictionaries of equal size, of at most `TRAINED_BYTES`, are trained on the toxic and on the ordinary texts, for
+   phrases and spellings that no single word shows. Windows of `WIDE` words are compressed with both; the measures are the largest
+   and the mean gain. For the fit a text is measured with dictionaries that it did not train (`FOLDS` parts of the sorted sample).
 3. A logistic curve over these measures, fitted by Newton steps, calibrates the score; a text is called toxic at `THRESHOLD`.
 
-Scoring covers all windows of whole texts, in tasks that hold the two dictionaries (some tens of kilobytes) and one piece of text.
+Scoring covers all windows of whole texts, in tasks that hold the four dictionaries (about a hundred kilobytes) and one piece of text.
 
 Defined cases: null and empty texts score as a text without gain; without labels of both classes every score is the share of toxic
 labels (0 without any); rows with a null label teach nothing, a doc_id with labels of both kinds counts as toxic; repeated rows
@@ -36,6 +38,7 @@ SAMPLE, SAMPLE_BYTES = 2_000, 32_000
 SIGNIFICANT, PIECE, LIFT = 0.01, 6, 6.0
 WINDOW, CLEAR, THRESHOLD = 8, 2, 0.7
 DICTIONARY_BYTES = 1 << 13
+TRAINED_BYTES, WIDE, FOLDS = 1 << 15, 32, 4
 LEVEL = 5
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _EDGES = b".,;:!?|*#$%&()[]<>\"'"
@@ -86,19 +89,51 @@ def distinctive_words(toxic: list[list[bytes]], ordinary: list[list[bytes]]) ->
     return [w for s, w in sorted((s, w) for w, s in strength.items()) if clear(w)]
 
 
-def _content(samples: list[bytes]) -> bytes:
+def _spaced(words: list[bytes]) -> bytes:
+    return b" " + b" ".join(words) + b" "
+
+
+def _content(texts: list[list[bytes]], size: int = DICTIONARY_BYTES) -> bytes:
     """What zstandard's training picks from the samples; too few samples are taken as they are."""
+    samples = [_spaced(w) for w in texts if w] or [b" "]
     try:
-        trained = zstandard.train_dictionary(DICTIONARY_BYTES, samples)
+        trained = zstandard.train_dictionary(size, samples)
     except zstandard.ZstdError:
-        return b"".join(samples)[-DICTIONARY_BYTES:]
-    return trained.as_bytes()[-(DICTIONARY_BYTES - 600):]
+        return b"".join(samples)[-size:]
+    return trained.as_bytes()[-(size - 600):]
+
+
+def _trained(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> tuple[bytes, bytes]:
+    """Ordinary and toxic content of equal size, each from texts of its class."""
+    both = [_content(texts, TRAINED_BYTES) for texts in (ordinary, toxic)]
+    size = min(map(len, both))
+    return both[0][-size:], both[1][-size:]
+
+
+def _compressor(content: bytes):
+    setting = zstandard.ZstdCompressionParameters.from_level(
+        LEVEL, min_match=4, window_log=17, write_content_size=False, write_checksum=False, write_dict_id=False)
+    held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    held.precompute_compress(compression_params=setting)
+    return zstandard.ZstdCompressor(compression_params=setting, dict_data=held).compress
+
+
+def _gains(words: list[bytes], width: int, ordinary, toxic) -> np.ndarray:
+    """Bytes that the toxic compressor saves in each window, the largest first."""
+    windows = [_spaced(words[i:i + width]) for i in range(0, len(words), width)]
+    return np.sort(np.array([len(ordinary(w)) - len(toxic(w)) for w in windows] or [0]))[::-1]
+
+
+def _style(words: list[bytes], ordinary, toxic) -> list[float]:
+    gains = _gains(words, WIDE, ordinary, toxic)
+    return [float(gains[0]) * WINDOW / WIDE, float(gains.mean()) * WINDOW / WIDE]
 
 
 @dataclass
 class Model:
     ordinary: bytes
     toxic: bytes
+    trained: tuple[bytes, bytes] = (b"", b"")
     weights: np.ndarray = None
     constant: float | None = None
     tools: list = field(default_factory=list, repr=False)
@@ -106,23 +141,14 @@ class Model:
     def __getstate__(self):
         return {**self.__dict__, "tools": []}
 
-    def gains(self, text: bytes) -> np.ndarray:
-        """Bytes saved by the toxic dictionary in each window."""
+    def measures(self, text: bytes, trained: list | None = None) -> list[float]:
+        """Measures of a text; `trained` are compressors to take in place of those of all texts."""
         if not self.tools:
-            setting = zstandard.ZstdCompressionParameters.from_level(
-                LEVEL, min_match=4, window_log=17, write_content_size=False, write_checksum=False, write_dict_id=False)
-            for content in (self.ordinary, self.toxic):
-                held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                held.precompute_compress(compression_params=setting)
-                self.tools.append(zstandard.ZstdCompressor(compression_params=setting, dict_data=held).compress)
-        ordinary, toxic = self.tools
+            self.tools += map(_compressor, (self.ordinary, self.toxic, *self.trained))
         words = _words(text)
-        windows = [b" " + b" ".join(words[i:i + WINDOW]) + b" " for i in range(0, len(words), WINDOW)]
-        return np.array([len(ordinary(w)) - len(toxic(w)) for w in windows] or [0])
-
-    def measures(self, text: bytes) -> list[float]:
-        gains = np.sort(self.gains(text))[::-1]
-        return [1.0, float(gains[0]), float(gains[:3].mean()), float(gains.mean()), math.log1p(int((gains >= CLEAR).sum()))]
+        gains = _gains(words, WINDOW, *self.tools[:2])
+        return [1.0, float(gains[0]), float(gains[:3].mean()), float(gains.mean()), math.log1p(int((gains >= CLEAR).sum())),
+                *_style(words, *(trained or self.tools[2:]))]
 
     def score(self, text: bytes) -> float:
         if self.constant is not None:
@@ -148,10 +174,16 @@ def fit(texts: list[bytes], toxic: list[int]) -> Model:
     known = sorted({(t, y) for t, y in zip(texts, toxic)})
     if len({y for _, y in known}) < 2:
         return Model(b"", b"", constant=float(np.mean([y for _, y in known])) if known else 0.0)
-    split = [[_words(t) for t, y in known if y == k] for k in (0, 1)]
-    content = _content([b" " + b" ".join(w) + b" " for w in split[0] if w] or [b" "])
-    model = Model(content, b" " + b" ".join(distinctive_words(split[1], split[0])) + b" " + content)
-    x = np.array([model.measures(t) for t, _ in known])
+    fold = np.arange(len(known)) * FOLDS // len(known)  # near copies are neighbours and stay in one part
+
+    def split(part: int) -> list[list[list[bytes]]]:
+        return [[_words(t) for (t, y), f in zip(known, fold) if y == k and f != part] for k in (1, 0)]
+
+    toxic_words, ordinary_words = split(-1)
+    content = _content(ordinary_words)
+    model = Model(content, _spaced(distinctive_words(toxic_words, ordinary_words)) + content, _trained(toxic_words, ordinary_words))
+    others = [[*map(_compressor, _trained(*split(f)))] for f in range(FOLDS)]
+    x = np.array([model.measures(t, others[f]) for (t, _), f in zip(known, fold)])
     model.weights = _logistic(x, np.array([float(y) for _, y in known]))
     return model
 

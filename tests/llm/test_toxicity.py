@@ -50,3 +50,20 @@ def test_small_training_samples_find_held_out_texts(spark):
     # a word in 20 of 49 toxic and 0 of 335 ordinary texts is significant, one in a single toxic text is not
     toxic = [[b"vile"] * (i < 20) + [b"once"] * (i == 0) + [b"a"] for i in range(49)]
     assert toxicity.distinctive_words(toxic, [[b"a"]] * 335) == [b"vile"]
+
+
+def test_toxic_phrases_of_common_words_are_found():
+    rng = np.random.default_rng(5)
+    vocabulary = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(200)]
+    phrases = [list(rng.choice(vocabulary, 8, replace=False)) for _ in range(3)]
+
+    def text(marked):
+        out = list(rng.choice(vocabulary, 60))
+        for phrase in phrases:  # the same words in either class, in the phrase's order in toxic texts only
+            out += phrase if marked else list(rng.permutation(phrase))
+        return " ".join(out).encode()
+
+    labels = [i % 4 == 0 for i in range(400)]
+    model = toxicity.fit([text(y) for y in labels], [int(y) for y in labels])
+    assert model.toxic.removesuffix(model.ordinary).strip() == b""
+    assert sum(model.score(text(True)) >= 0.7 for _ in range(50)) >= 45 and sum(model.score(text(False)) >= 0.7 for _ in range(50)) <= 2

@@ -2,7 +2,8 @@
 
 Texts are lower-cased (A-Z) and split into words at ASCII punctuation and white space; a text's set is its distinct five-word
 shingles, hashed to 64 bits (a text of one to four words has its whole sequence as one shingle). A document leaks an item if it
-contains at least `threshold` of the item's set.
+contains at least `threshold` of the item's set. Against items of n < 5 words a document also has its runs of n words, so that they
+are found inside longer documents; this is done for those n that the benchmark has.
 
 Search. Items are partitioned by set size. A partition whose largest set has u shingles keeps of every item the MinHash sketch
 of its k = u - ceil(threshold * u) + 1 smallest hashes (all, if it has fewer). A document with a share of `threshold` of an
@@ -37,11 +38,23 @@ _SPACED[65:91] += 32
 for _low, _high in ((0, 48), (58, 65), (91, 97), (123, 128)):
     _SPACED[_low:_high] = 32
 
-def shingles(raw: np.ndarray, offs: np.ndarray, gather=tokens.shingle_lists) -> tuple[np.ndarray, np.ndarray]:
-    """Shingle hashes of each text, and where each text's shingles start."""
+
+def _words(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes, and the number of each text's first word."""
     raw = _SPACED[raw]
     starts, ends, first = tokens.word_spans(raw, offs)
-    return gather(tokens.word_hashes(raw, starts, ends), first, WORDS)
+    return tokens.word_hashes(raw, starts, ends), first
+
+
+def shingles(raw: np.ndarray, offs: np.ndarray, short: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of each text's shingles and of its runs of as many words as `short` has, and where each text's hashes start."""
+    words, first = _words(raw, offs)
+    hashes, at = tokens.shingle_lists(words, first, WORDS)
+    if not short:
+        return hashes, at
+    lists = [(hashes, at), *(tokens.shingle_lists(words, first, n) for n in short)]
+    texts = np.concatenate([np.repeat(np.arange(len(a) - 1), np.diff(a)) for _, a in lists])
+    return np.concatenate([h for h, _ in lists])[np.argsort(texts, kind="stable")], np.sum([a for _, a in lists], axis=0)
 
 
 def size_partition(size: int) -> int:
@@ -55,13 +68,16 @@ def sketch_size(partition: int, threshold: float) -> int:
 
 
 def _item_sets(batches):
-    """Rows (item_id, size, hash): the shingles of every item."""
+    """Rows (item_id, size, words, hash): the shingles of every item, and the number of words in a shingle."""
     for rows, raw, offs in tokens.text_chunks(batches):
-        hashes, at = shingles(raw, offs, tokens.shingle_sets)
+        words, first = _words(raw, offs)
+        hashes, at = tokens.shingle_sets(words, first, WORDS)
         sizes = np.diff(at)
         ids = rows.column(0).take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
+        lengths = np.repeat(np.minimum(np.diff(first), WORDS), sizes)
         yield pa.RecordBatch.from_arrays(
-            [ids, pa.array(np.repeat(sizes, sizes)), pa.array(tokens.signed(hashes))], names=["item_id", "size", "hash"])
+            [ids, pa.array(np.repeat(sizes, sizes)), pa.array(lengths), pa.array(tokens.signed(hashes))],
+            names=["item_id", "size", "words", "hash"])
 
 
 class Block:
@@ -69,6 +85,7 @@ class Block:
 
     def __init__(self, uri: str, threshold: float):
         item, size, hashes = get(f"{uri}/item", np.int64), get(f"{uri}/size", np.int64), get(f"{uri}/hash", np.int64).view(np.uint64)
+        self.short = tuple(n for n in np.unique(get(f"{uri}/words", np.int64)).tolist() if n < WORDS)
         order = np.lexsort((hashes, item))
         self.hash, item = hashes[order], item[order]
         fresh = np.flatnonzero(np.r_[True, item[1:] != item[:-1]]) if len(item) else np.zeros(0, np.int64)
@@ -105,12 +122,12 @@ def _blocks(benchmark: DataFrame, threshold: float, block_shingles: int) -> list
     count = max(1, -(-(total // 2) // block_shingles))
     root = new_path(spark, "benchmark")
     sets = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null").dropDuplicates(
-        ["item_id", "text"]).mapInArrow(_item_sets, "item_id long, size long, hash long")
+        ["item_id", "text"]).mapInArrow(_item_sets, "item_id long, size long, words long, hash long")
     sets = sets.withColumn("block", F.expr(f"pmod(xxhash64(item_id), {count})"))
 
     def write(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py() if len(table) else 0
-        for column in ("item_id", "size", "hash"):
+        for column in ("item_id", "size", "words", "hash"):
             put(f"{root}/{block}/{column.removesuffix('_id')}", table.column(column).to_numpy())
         return pa.table({"block": pa.array([block], pa.int64())})
 
@@ -130,7 +147,7 @@ def _marked(documents: DataFrame, benchmark: DataFrame, threshold: float, block_
             block = Block(uri, threshold)
             for rows, raw, offs in tokens.text_chunks(batches):
                 best = {i: (s, -n) for i, (n, s) in enumerate(zip(*(c.to_pylist() for c in rows.columns[width:]))) if s is not None}
-                for text, item_id, shared, size in block.leaks(*shingles(raw, offs)):
+                for text, item_id, shared, size in block.leaks(*shingles(raw, offs, block.short)):
                     best[text] = max(best.get(text, (-1.0, 0)), (shared / size, -item_id))
                 found = [best.get(i) for i in range(rows.num_rows)]
                 yield pa.RecordBatch.from_arrays(

@@ -64,3 +64,16 @@ def test_clean_and_empty(spark):
     assert kept.columns == frame(spark, []).columns and kept.count() == sum(not x[3] for x in brute(rows, items))
     assert decontamination.clean(frame(spark, rows), benchmark.limit(0)).count() == len(rows)
     assert decontamination.scan(frame(spark, []), benchmark).count() == 0
+
+
+def test_items_under_five_words_are_found_inside_long_documents(spark):
+    long = [f"w{i}" for i in range(400)]
+    items = [(1, "What is 2 + 2?"), (2, "lonely"), (3, "two words"), (4, " ".join(long[50:80])), (5, "not in any")]
+    put = lambda text: " ".join(long[:200]) + f" ({text}) " + " ".join(long[200:])
+    rows = [(1, put("WHAT is 2+2")), (2, put("lonely")), (3, "two words"), (4, "two, words here"), (5, put("two other words")),
+            (6, "two"), (7, "words lonely two"), (8, None), (9, "not in"), (10, "any " + put("x") + " not in")]
+    for cut in (1, 2, 4):
+        benchmark = spark.createDataFrame([x for x in items if x[0] != 4 or cut > 1], "item_id long, text string")
+        got = {r.doc_id: r.item_id for r in decontamination.scan(frame(spark, rows, cut), benchmark, block_shingles=10 ** 6 if cut < 4 else 1).collect()}
+        whole = {1: 1, 2: 2, 3: 3, 4: 3, 5: None, 6: None, 7: 2, 8: None, 9: None, 10: None}
+        assert got == (whole if cut == 1 else whole | {5: 4, 10: 4})

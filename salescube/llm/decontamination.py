@@ -68,7 +68,7 @@ def sketch_size(partition: int, threshold: float) -> int:
 
 
 def _item_sets(batches):
-    """Rows (item_id, size, words, hash): the shingles of every item, and the number of words in a shingle."""
+    """Rows (item_id, words, hash): the shingles of every row, and the number of words in a shingle."""
     for rows, raw, offs in tokens.text_chunks(batches):
         words, first = _words(raw, offs)
         hashes, at = tokens.shingle_sets(words, first, WORDS)
@@ -76,21 +76,23 @@ def _item_sets(batches):
         ids = rows.column(0).take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
         lengths = np.repeat(np.minimum(np.diff(first), WORDS), sizes)
         yield pa.RecordBatch.from_arrays(
-            [ids, pa.array(np.repeat(sizes, sizes)), pa.array(lengths), pa.array(tokens.signed(hashes))],
-            names=["item_id", "size", "words", "hash"])
+            [ids, pa.array(lengths), pa.array(tokens.signed(hashes))], names=["item_id", "words", "hash"])
 
 
 class Block:
     """Sketches and whole sets of one block of items, in sorted arrays."""
 
     def __init__(self, uri: str, threshold: float):
-        item, size, hashes = get(f"{uri}/item", np.int64), get(f"{uri}/size", np.int64), get(f"{uri}/hash", np.int64).view(np.uint64)
+        item, hashes = get(f"{uri}/item", np.int64), get(f"{uri}/hash", np.int64).view(np.uint64)
         self.short = tuple(n for n in np.unique(get(f"{uri}/words", np.int64)).tolist() if n < WORDS)
         order = np.lexsort((hashes, item))
-        self.hash, item = hashes[order], item[order]
+        hashes, item = hashes[order], item[order]
+        first = np.ones(len(item), bool)  # rows of one item may share shingles
+        first[1:] = (item[1:] != item[:-1]) | (hashes[1:] != hashes[:-1])
+        self.hash, item = hashes[first], item[first]
         fresh = np.flatnonzero(np.r_[True, item[1:] != item[:-1]]) if len(item) else np.zeros(0, np.int64)
         self.items, self.at, self.threshold = item[fresh], np.r_[fresh, len(item)], threshold
-        sizes = size[order][fresh]
+        sizes = np.diff(self.at)
         kept = np.minimum(sizes, [sketch_size(size_partition(int(n)), threshold) for n in sizes]) if len(sizes) else sizes
         owner = np.repeat(np.arange(len(fresh)), kept)
         sketch = self.hash[np.repeat(fresh, kept) + tokens.ramp(kept)]
@@ -122,12 +124,12 @@ def _blocks(benchmark: DataFrame, threshold: float, block_shingles: int) -> list
     count = max(1, -(-(total // 2) // block_shingles))
     root = new_path(spark, "benchmark")
     sets = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null").dropDuplicates(
-        ["item_id", "text"]).mapInArrow(_item_sets, "item_id long, size long, words long, hash long")
+        ["item_id", "text"]).mapInArrow(_item_sets, "item_id long, words long, hash long")
     sets = sets.withColumn("block", F.expr(f"pmod(xxhash64(item_id), {count})"))
 
     def write(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py() if len(table) else 0
-        for column in ("item_id", "size", "words", "hash"):
+        for column in ("item_id", "words", "hash"):
             put(f"{root}/{block}/{column.removesuffix('_id')}", table.column(column).to_numpy())
         return pa.table({"block": pa.array([block], pa.int64())})
 

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from salescube.llm import decontamination
@@ -77,3 +78,19 @@ def test_items_under_five_words_are_found_inside_long_documents(spark):
         got = {r.doc_id: r.item_id for r in decontamination.scan(frame(spark, rows, cut), benchmark, block_shingles=10 ** 6 if cut < 4 else 1).collect()}
         whole = {1: 1, 2: 2, 3: 3, 4: 3, 5: None, 6: None, 7: 2, 8: None, 9: None, 10: None}
         assert got == (whole if cut == 1 else whole | {5: 4, 10: 4})
+
+
+def test_rows_of_one_item_are_united(spark):
+    words = [f"u{i}" for i in range(48)]
+    parts = [" ".join(words[:24]), " ".join(words[24:])]  # 20 shingles each
+    raw = [np.frombuffer(p.encode(), np.uint8) for p in parts]
+    hashed = sorted((int(h), p, i) for p, r in enumerate(raw) for i, h in enumerate(decontamination.shingles(r, np.array([0, len(r)]))[0]))
+    least = {(p, i) for _, p, i in hashed[:8]}  # 32 of the 40 shingles are left: exactly the threshold
+    piece = lambda p, i: " ".join(words[24 * p + i:24 * p + i + 5])
+    lacking = " | gap | ".join(piece(p, i) for p in (0, 1) for i in range(20) if (p, i) not in least)
+    items = [(1, parts[0]), (1, parts[1]), (2, " ".join(f"v{i}" for i in range(24))), (2, " ".join(f"v{i}" for i in range(12, 36)))]
+    rows = [(1, lacking), (2, " ".join(f"v{i}" for i in range(30))), (3, " ".join(f"v{i}" for i in range(6, 36)))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = decontamination.scan(frame(spark, rows), benchmark).collect()
+    want = brute(rows, items)
+    assert sorted(map(tuple, got), key=str) == want and want[0] == (1, 1, 0.8, True)

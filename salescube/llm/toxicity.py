@@ -12,6 +12,7 @@ the smallest hash of doc_id):
    phrases and spellings that no single word shows. Windows of `WIDE` words are compressed with both; the measures are the largest
    and the mean gain. For the fit a text is measured with dictionaries that it did not train (`FOLDS` parts of the sorted sample).
 3. A logistic curve over these measures, fitted by Newton steps, calibrates the score; a text is called toxic at `THRESHOLD`.
+   Sampled texts weigh as many as all labelled documents of their class, so the curve does not follow the sample's shares.
 
 Scoring covers all windows of whole texts, in tasks that hold the four dictionaries (about a hundred kilobytes) and one piece of text.
 
@@ -156,24 +157,26 @@ class Model:
         return float(1 / (1 + math.exp(-max(-30.0, min(30.0, float(np.dot(self.weights, self.measures(text))))))))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 50) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.05, steps: int = 50) -> np.ndarray:
     weights = np.zeros(x.shape[1])
     penalty = np.eye(x.shape[1]) * ridge
     penalty[0, 0] = 1e-6
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (y - p) - penalty @ weights)
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + penalty, x.T @ (weight * (y - p)) - penalty @ weights)
         weights += step
         if np.abs(step).max() < 1e-8:
             break
     return weights
 
 
-def fit(texts: list[bytes], toxic: list[int]) -> Model:
-    """A model of labelled texts; equal texts count once."""
+def fit(texts: list[bytes], toxic: list[int], counts: dict[int, int] | None = None) -> Model:
+    """A model of labelled texts; equal texts count once. `counts` has the documents of each class that the texts stand for."""
     known = sorted({(t, y) for t, y in zip(texts, toxic)})
     if len({y for _, y in known}) < 2:
         return Model(b"", b"", constant=float(np.mean([y for _, y in known])) if known else 0.0)
+    sampled = Counter(toxic)
+    standing = [(counts or sampled)[y] / sampled[y] for _, y in known]
     fold = np.arange(len(known)) * FOLDS // len(known)  # near copies are neighbours and stay in one part
 
     def split(part: int) -> list[list[list[bytes]]]:
@@ -184,7 +187,8 @@ def fit(texts: list[bytes], toxic: list[int]) -> Model:
     model = Model(content, _spaced(distinctive_words(toxic_words, ordinary_words)) + content, _trained(toxic_words, ordinary_words))
     others = [[*map(_compressor, _trained(*split(f)))] for f in range(FOLDS)]
     x = np.array([model.measures(t, others[f]) for (t, _), f in zip(known, fold)])
-    model.weights = _logistic(x, np.array([float(y) for _, y in known]))
+    weight = np.array(standing) * len(known) / sum(standing)
+    model.weights = _logistic(x, np.array([float(y) for _, y in known]), weight)
     return model
 
 
@@ -199,7 +203,8 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
     chosen = F.broadcast(documents.sparkSession.createDataFrame(picked, ids.schema))  # two ids per sampled text at most
     texts = short.select("doc_id", F.col("text").cast("binary").alias("text")).join(chosen, "doc_id").groupBy("doc_id").agg(
         F.min("text").alias("text"), F.max("toxic").alias("toxic")).collect()
-    return fit([bytes(r.text) for r in texts], [r.toxic for r in texts])
+    counts = documents.select("doc_id").join(known, "doc_id").distinct().groupBy("toxic").count().collect()
+    return fit([bytes(r.text) for r in texts], [r.toxic for r in texts], {r[0]: r[1] for r in counts})
 
 
 def _score(model: Model):

@@ -67,3 +67,11 @@ def test_toxic_phrases_of_common_words_are_found():
     model = toxicity.fit([text(y) for y in labels], [int(y) for y in labels])
     assert model.toxic.removesuffix(model.ordinary).strip() == b""
     assert sum(model.score(text(True)) >= 0.7 for _ in range(50)) >= 45 and sum(model.score(text(False)) >= 0.7 for _ in range(50)) <= 2
+
+
+def test_calibration_does_not_follow_the_sample(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(rng.choice(list("abcdefgh"), 30))) for i in range(420)]  # labels that no text explains
+    labels = spark.createDataFrame([(i, int(i % 21 == 0)) for i in range(420)], "doc_id long, toxic int")
+    scores = [np.mean([r.score for r in toxicity.scored(frame(spark, rows), toxicity.train(frame(spark, rows), labels, n)).collect()]) for n in (20, 400)]
+    assert all(abs(s - 1 / 21) < 0.04 for s in scores)

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from salescube.sources.scratch import stage
+
 
 def magnitude(amount: Column | str) -> Column:
     """Bucket number that never falls as the amount grows: quarter-octaves, mirrored below zero, zero on its own."""
@@ -71,3 +73,26 @@ def bucketed(
             for n, (column, _) in sums.items()
         ],
     )
+
+
+def ranked(df: DataFrame, groups: Sequence[str], order: Sequence[Column], name: str, columns: Sequence[Column | str]) -> DataFrame:
+    """`columns` of every row and its number along `order` inside its group, as a plain window numbers them.
+
+    Rows are dealt to tasks by ranges of group and order, with bounds that Spark samples from the data, so a group of any size
+    (or one long run of equal sums that a later key in `order` sets apart) spreads over tasks. Each range is sorted once and
+    written with its places; a row's number is its place plus the rows of its group in earlier ranges. Only wholly equal rows
+    share a range. `columns` may be narrower than what `order` reads: nothing else is kept.
+    """
+    keys = [F.col(f"`{g}`") for g in groups]
+    dealt = df.repartitionByRange(*[k.asc_nulls_first() for k in keys], *order)
+    placed = stage(
+        dealt.sortWithinPartitions(*[k.asc_nulls_first() for k in keys], *order)
+        .select(*columns, F.monotonically_increasing_id().alias("__place")), "ranks"
+    ).withColumn("__range", F.shiftright("__place", 33))
+    ranges = placed.groupBy(*groups, "__range").agg(F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy(*groups).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranges.select(
+        *groups, "__range", (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first") + 1).alias("__shift")
+    )
+    joined = join_null_safe(placed, offsets, [*groups, "__range"])
+    return joined.withColumn(name, F.col("__place") + F.col("__shift")).drop("__place", "__range", "__shift")

@@ -2,7 +2,8 @@
 
 import corpus_pipeline
 from salescube.llm import (
-    decontamination, language_id, near_dedup, ngram_lm, pii, piece_codec, quality, secret_scan, substring_dedup, toxicity,
+    decontamination, hard_negatives, language_id, line_dedup, near_dedup, ngram_lm, pii, piece_codec, prefix_trie, quality, secret_scan,
+    substring_dedup, toxicity,
 )
 from salescube.llm.oracles import ORACLES
 
@@ -19,5 +20,8 @@ QUERIES = {
     "op8_quality_rules": quality.op8_quality_rules,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_pii": pii.op10_pii,
+    "op11_line_dedup": line_dedup.op11_line_dedup,
+    "op12_prefix_trie": prefix_trie.op12_prefix_trie,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }

@@ -73,9 +73,77 @@ found AS (
   QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY CAST(common AS double) / n DESC, item_id) = 1)
 SELECT doc_id, item_id, containment, item_id IS NOT NULL AS contaminated FROM documents LEFT JOIN found USING (doc_id)"""
 
+_LINES = f"""WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (SELECT doc_id, unnest(range(1, len(l) + 1)) AS i, unnest(l) AS line FROM split),
+keyed AS (SELECT doc_id, i, line, {_lower("trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS k FROM lines),
+repeated AS (SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+judged AS (SELECT doc_id, i, line, keeper IS NOT NULL AND keeper <> doc_id AS gone FROM keyed LEFT JOIN repeated USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id"""
+
+_CRC_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+_TRIE = f"""WITH RECURSIVE steps(b, n, c) AS (
+  SELECT b, 0, b FROM range(256) AS t(b) UNION ALL SELECT b, n + 1, {_CRC_STEP} FROM steps WHERE n < 8),
+crc_table AS (SELECT list(c ORDER BY b) AS t FROM steps WHERE n = 8),
+own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS n
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base,
+         xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS varchar), ''), lambda x: CAST(ascii(x) AS bigint))),
+                         lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1])), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM own), crc_table),
+parts AS (
+  SELECT c.conv_id, 0 AS part, o.n, o.role, o.text FROM convs c JOIN own o ON o.conv_id = c.base AND o.n <= c.h
+  UNION ALL SELECT c.conv_id, 1, o.n, o.role, o.text FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.n > c.h),
+turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, n) AS d, strlen(text) AS size,
+         sha256(strlen(role) || ':' || role || text) AS t FROM parts),
+whole AS (SELECT c.conv_id, coalesce(list(t ORDER BY d) FILTER (t IS NOT NULL), []) AS s FROM convs c LEFT JOIN turns USING (conv_id) GROUP BY c.conv_id),
+members AS (
+  SELECT conv_id, CAST(d AS bigint) AS depth, list_slice(s, 1, d) AS k, len(s) = d AS ends
+  FROM (SELECT conv_id, s, unnest(range(len(s) + 1)) AS d FROM whole)),
+nodes AS (
+  SELECT k, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS varchar), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM members GROUP BY k, depth),
+weighed AS (
+  SELECT n.*, (n_convs - 1) * coalesce(size, 0) AS saved, list_slice(k, 1, depth - 1) AS up
+  FROM nodes n LEFT JOIN turns t ON t.conv_id = n.conv_id AND t.d = n.depth),
+children AS (SELECT up AS k, count(*) AS n FROM weighed WHERE depth > 0 GROUP BY up),
+counted AS (SELECT w.*, coalesce(c.n, 0) AS n_children FROM weighed w LEFT JOIN children c USING (k)),
+above AS (
+  SELECT list_slice(k, 1, d) AS k, saved, n_children = 0 AS leaf FROM (SELECT k, saved, n_children, unnest(range(depth + 1)) AS d FROM counted)),
+subtrees AS (SELECT k, CAST(sum(saved) AS bigint) AS saved_tokens, count(*) FILTER (leaf) AS n_leaves FROM above GROUP BY k)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM counted n JOIN subtrees s USING (k) LEFT JOIN nodes p ON n.depth > 0 AND p.k = n.up"""
+
+_HARD = """WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS double))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label AS mine, b.vec_id AS other, b.label AS label, CAST(list_inner_product(a.v, b.v) AS bigint) AS score
+  FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, mine, other AS positive_id, score AS positive_score FROM scored WHERE label = mine
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS integer) AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE label <> positives.mine AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5"""
+
 ORACLES: dict[str, str] = {
     "op4_near_dedup": _NEAR,
     "op6_substring_dedup": _SUBSTRINGS,
     "op8_quality_rules": _QUALITY,
     "op9_decontamination": _LEAKS,
+    "op11_line_dedup": _LINES,
+    "op12_prefix_trie": _TRIE,
+    "op13_hard_negatives": _HARD,
 }

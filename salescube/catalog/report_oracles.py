@@ -113,7 +113,7 @@ _WIDE = ", ".join(
 )
 _TEXT = ["category", "segment", '"group"', "brand", "producer", "global_sku_name", "label", "number"]
 
-_HEADER = f"""SELECT network_subname, first_period, last_period, '{{frequency}}' AS frequency, trailing_start,
+_HEADER = f"""SELECT network_subname, first_period, last_period, CASE WHEN network_subname LIKE '%понед.%' THEN 'Неделя' ELSE 'Месяц' END AS frequency, trailing_start,
        'Динамика основных показателей по продажам в ' || network_subname AS title,
        {_month_name('first_period')} || ' - ' || {_month_name('last_period')} AS dates
 FROM spans"""
@@ -207,8 +207,8 @@ ORACLES = {
                    strftime(CAST(date_trunc('week', day + 6) AS date), '%Y.%m.%d') AS span
         FROM (SELECT DISTINCT CAST(l_shipdate AS date) AS day FROM lineitem)""",
     "derived_metrics": f"WITH {_MONTHLY} SELECT * FROM cells",
-    "report_header": f"WITH {_MONTHLY} {_HEADER.format(frequency='Месяц')}",
-    "report_header_weekly": f"WITH {_WEEKLY} {_HEADER.format(frequency='Неделя')}",
+    "report_header": f"WITH {_MONTHLY} {_HEADER}",
+    "report_header_weekly": f"WITH {_WEEKLY} {_HEADER}",
     "trailing_sales": f"WITH {_MONTHLY} SELECT * REPLACE ({_MONEY}, {_ALL}) FROM report_rows",
     "trailing_sales_weekly": f"WITH {_WEEKLY} SELECT * REPLACE ({_MONEY}, {_ALL}) FROM report_rows",
     "producer_pruning": f"""WITH {_MONTHLY}, {_TOP}

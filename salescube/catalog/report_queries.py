@@ -88,9 +88,10 @@ def sales_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_of_network(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report of one network, chosen in the stored rollup before any work."""
-    chosen = stored_rollup(spark, sf_dir).where(F.col("network_subname") == "NATION_12")
-    return as_doubles(report.build(chosen, OWN_PRODUCER))
+    """The report of one network, chosen in the stored rollup before any work, over the periods that all networks have together."""
+    rollup = stored_rollup(spark, sf_dir)
+    chosen = rollup.where(F.col("network_subname") == "NATION_12")
+    return as_doubles(report.build(chosen, OWN_PRODUCER, report.period_list(rollup)))
 
 
 def printed_report(spark: SparkSession, sf_dir: str) -> DataFrame:

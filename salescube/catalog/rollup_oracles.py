@@ -24,10 +24,24 @@ def _profile(name, table, key, required):
     )
 
 
+def _renamed(sales: str) -> str:
+    """The star with its sales under another name, for statements that change them."""
+    return FINE.replace("retail_sales AS", f"{sales} AS", 1)
+
+
 ORACLES = {
     "rollup_grouping_sets": _ROLLUP,
     "slice_replace": _ROLLUP,
     "rollup_refresh": _ROLLUP,
+    "slice_delete": f"{_ROLLUP} WHERE NOT (report_date = DATE '1995-03-01' AND network_name = 'ASIA')",
+    "rollup_incremental": f"""WITH {_renamed('fine_sales')}, retail_sales AS (
+          SELECT f.* REPLACE (CAST(pieces + CASE WHEN month_year = DATE '1995-03-01' AND network_name = 'ASIA' THEN 1 ELSE 0 END AS integer) AS pieces)
+          FROM fine_sales f JOIN (SELECT global_pos_code AS code, network_name FROM base_sales_point) ON code = global_pos_code
+          WHERE NOT (month_year = DATE '1995-04-01' AND network_name = 'ASIA')), {rollup_sql()}
+        SELECT * FROM rollup""",
+    "slice_versions": f"""WITH {FINE}, {rollup_sql()}, {rollup_sql(name="retail", where="n.store_format <> 'wholesale'")}
+        SELECT *, 1 AS version FROM rollup WHERE report_date = DATE '1995-03-01' AND network_name = 'ASIA'
+        UNION ALL SELECT *, 2 FROM retail WHERE report_date = DATE '1995-03-01' AND network_name = 'ASIA'""",
     "snapshot_of_year": f"WITH {FINE}, {_FULL} SELECT * FROM full_sales WHERE year(month_year) = 1995",
     "views_sql": f"""WITH {FINE}
         SELECT CASE store_format WHEN 'wholesale' THEN store_format ELSE n.network_subname END AS place,

@@ -18,7 +18,7 @@ from salescube.sources import snapshot, tables
 from salescube.sources.scratch import new_path, stage
 
 TAKEN = date(2024, 1, 10)
-MONTH = date(1995, 3, 1)
+MONTH, NEXT_MONTH = date(1995, 3, 1), date(1995, 4, 1)
 NETWORK = "ASIA"
 
 
@@ -57,28 +57,65 @@ def rollup_variant_regrouped(spark: SparkSession, sf_dir: str) -> DataFrame:
 def slice_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store all slices, rewrite those of one network, read everything back."""
     star = fine_star(spark, sf_dir)
-    path = new_path(spark, "dp-agg")
-    first = tables.insert_aligned(rollup.stamped(build_rollup(star)))
-    tables.replace_slices(first, path, rollup.SLICE)
-    star.fact = star.full_fact.where(F.col("network_name") == "ASIA")
-    again = tables.insert_aligned(rollup.stamped(build_rollup(star)))
-    tables.replace_slices(again, path, rollup.SLICE, requested={"network_name": ["ASIA"]})
-    return rollup.read_rollup(spark, path).drop("last_update")
+    table = rollup.slice_table(spark, new_path(spark, "dp-agg"))
+    table.replace(tables.insert_aligned(rollup.stamped(build_rollup(star))))
+    own = star.base_sales_point.where(F.col("network_name") == NETWORK)
+    again = rollup.build(star.fact, star.base_sku, own, star.networks)
+    stored = {k for k in table.manifest().slices if k[1] == NETWORK}
+    table.replace(tables.insert_aligned(rollup.stamped(again)), stored)
+    return table.read().drop("last_update")
 
 
-def rollup_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The monthly job with its checks: all months and networks once, then one month of one network again."""
+def _job(spark: SparkSession, sf_dir: str) -> tuple:
+    """What the monthly job works on: sales, dimensions, a new table, the period, the networks."""
     star = fine_star(spark, sf_dir)
     fact = stage(star.full_fact, "sales")
-    path = new_path(spark, "dp-agg")
     chains = sorted(r.network_name for r in star.base_sales_point.select("network_name").distinct().collect())
     first, last = fact.agg(F.min("month_year"), F.max("month_year")).first()
-    job = (fact, star.base_sku, star.base_sales_point, star.networks, path)
-    rollup.refresh(*job, first, last, chains, chains)
-    rollup.refresh(*job, MONTH, MONTH, [NETWORK], chains)
+    return fact, (star.base_sku, star.base_sales_point, star.networks), new_path(spark, "dp-agg"), (first, last, chains, chains)
+
+
+def rollup_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly job with its checks: all months and networks once, then one month of one network again."""
+    fact, dims, path, (first, last, chains, known) = _job(spark, sf_dir)
+    rollup.refresh(fact, *dims, path, first, last, chains, known, may_be_empty=True)
+    rollup.refresh(fact, *dims, path, MONTH, MONTH, [NETWORK], known, may_be_empty=[(MONTH, NETWORK)])
+    return rollup.read_rollup(spark, path).drop("last_update")
+
+
+def slice_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly job for two months, after the sales of one network in one of them were withdrawn: that slice goes."""
+    fact, dims, path, (first, last, chains, known) = _job(spark, sf_dir)
+    rollup.refresh(fact, *dims, path, first, last, chains, known, may_be_empty=True)
+    withdrawn = fact.where(~((F.col("month_year") == MONTH) & (F.col("network_name") == NETWORK)))
+    rollup.refresh(withdrawn, *dims, path, MONTH, NEXT_MONTH, chains, known, may_be_empty=True)
+    return rollup.read_rollup(spark, path).drop("last_update")
+
+
+def rollup_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollup kept up to date: all slices, then those alone whose sales changed or were withdrawn, then none."""
+    fact, dims, path, (first, last, chains, known) = _job(spark, sf_dir)
+    rollup.refresh_changed(fact, *dims, path, first, last, chains, known)
+    here = (F.col("month_year") == MONTH) & (F.col("network_name") == NETWORK)
+    there = (F.col("month_year") == NEXT_MONTH) & (F.col("network_name") == NETWORK)
+    later = fact.where(~there).withColumn("pieces", F.when(here, F.col("pieces") + 1).otherwise(F.col("pieces")))
+    for _ in range(2):
+        rollup.refresh_changed(later, *dims, path, first, last, chains, known, may_be_empty=True)
     return rollup.read_rollup(spark, path).drop("last_update")
 
 
+def slice_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One network in one month as a reader sees it before and after it was rewritten without the wholesale channel."""
+    star = fine_star(spark, sf_dir)
+    table = rollup.slice_table(spark, new_path(spark, "dp-agg"))
+    months = {"months": (MONTH, NEXT_MONTH)}
+    first = table.replace(tables.insert_aligned(rollup.stamped(build_rollup(star, **months))))
+    retail = build_rollup(star, **months, where=F.col("store_format") != "wholesale", store_columns=("store_format",))
+    last = table.replace(tables.insert_aligned(rollup.stamped(retail)), {k for k in table.manifest().slices}, may_be_empty=True)
+    seen = [table.read(version, [(MONTH, NETWORK)]).withColumn("version", F.lit(version)) for version in (first, last)]
+    return seen[0].unionByName(seen[1]).drop("last_update")
+
+
 def snapshot_of_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copy the sales of one year, picked by its month directories, and read the copy."""
     stored = new_path(spark, "sales")
@@ -322,6 +359,9 @@ QUERIES = {
     "rollup_variant_regrouped": rollup_variant_regrouped,
     "slice_replace": slice_replace,
     "rollup_refresh": rollup_refresh,
+    "slice_delete": slice_delete,
+    "rollup_incremental": rollup_incremental,
+    "slice_versions": slice_versions,
     "snapshot_of_year": snapshot_of_year,
     "views_sql": views_sql,
     "slice_extract": slice_extracts,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -85,10 +86,12 @@ def slice_counts(fact: DataFrame) -> DataFrame:
     return fact.groupBy("month_year", "network_name").agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def require_slices(fact: DataFrame, months: list, chains: list[str]) -> None:
-    """Every requested month of every requested network must have sales."""
+def require_slices(fact: DataFrame, months: list, chains: list[str], may_be_empty: bool | Collection[tuple] = False) -> None:
+    """Every requested month of every requested network must have sales, but for those that may be empty."""
+    if may_be_empty is True:
+        return
     wanted = fact.where(F.col("month_year").isin(months) & F.col("network_name").isin(chains))
-    found = {(r["month_year"], r["network_name"]) for r in slice_counts(wanted).collect()}
+    found = {(r["month_year"], r["network_name"]) for r in slice_counts(wanted).collect()} | set(may_be_empty or ())
     missing = [(m, c) for m in months for c in chains if (m, c) not in found]
     if missing:
         raise InputError("no sales for " + ", ".join(f"{c} in {m}" for m, c in missing))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import date
+from itertools import product
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +12,11 @@ from pyspark.sql import functions as F
 from salescube.functions.dates import period_bounds
 from salescube.functions.measures import grams, round_even
 from salescube.operators.checks import InputError, require_clean, require_known, require_slices
+from salescube.operators.fingerprint import marks, table_mark
 from salescube.operators.star import fold_sales, star_join, store_dimension
 from salescube.schemas import DIMENSION_KEYS, GROUP_KEYS, ROLLUP, ROW_KEYS
-from salescube.sources.tables import insert_aligned, replace_slices
+from salescube.sources.slices import SliceTable
+from salescube.sources.tables import insert_aligned
 
 SLICE = ["report_date", "network_name"]
 _SLICE_KEYS = [*SLICE, "network_subname"]
@@ -99,6 +103,24 @@ def months_in(start: str | date, end: str | date) -> list[date]:
     return [m for m in every if first <= m]
 
 
+def slice_table(spark: SparkSession, path: str) -> SliceTable:
+    """The stored rollup: one slice per month and network, replaced and deleted in one step."""
+    return SliceTable(spark, path, SLICE, ROLLUP)
+
+
+def _checked(skus: DataFrame, stores: DataFrame, networks: DataFrame, start: str | date, end: str | date, chains: list[str], known: list[str]) -> list[date]:
+    months = months_in(start, end)
+    if not months:
+        raise InputError(f"no month starts between {start} and {end}")
+    require_known(chains, known)
+    require_clean({
+        "base_sku": (skus, DIMENSION_KEYS["base_sku"], ["global_sku_code"]),
+        "base_sales_point": (stores, DIMENSION_KEYS["base_sales_point"], ["global_pos_code", "network_name"]),
+        "networks": (networks, DIMENSION_KEYS["networks"], ["global_pos_code", "network_subname_alt"]),
+    })
+    return months
+
+
 def refresh(
     fact: DataFrame,
     skus: DataFrame,
@@ -109,30 +131,71 @@ def refresh(
     end: str | date,
     chains: list[str],
     known_chains: list[str],
+    may_be_empty: bool | Collection[tuple[date, str]] = False,
     **variant,
-) -> None:
-    """Recompute the requested months and networks and replace exactly those slices of the stored rollup.
+) -> int:
+    """Recompute the requested months and networks, replace exactly those slices of the stored rollup, and return its version.
 
-    Parameters and dimensions are checked first; every requested slice must have sales, and rows in the new rollup. Nothing is
-    replaced otherwise.
-    A sale whose network differs from its store's network cannot leak into a slice that was not requested. `variant`
-    takes the options of `build`; each variant has its own table.
+    Parameters and dimensions are checked first; every requested slice must have sales, and rows in the new rollup, unless
+    `may_be_empty` (True, or the (month, network) pairs that may be): such a slice is deleted. All slices change in one step; nothing
+    changes if anything is refused. A sale whose network differs from its store's network cannot leak into a slice that
+    was not requested. `variant` takes the options of `build`; each variant has its own table.
     """
-    months = months_in(start, end)
-    if not months:
-        raise InputError(f"no month starts between {start} and {end}")
-    require_known(chains, known_chains)
-    require_clean({
-        "base_sku": (skus, DIMENSION_KEYS["base_sku"], ["global_sku_code"]),
-        "base_sales_point": (stores, DIMENSION_KEYS["base_sales_point"], ["global_pos_code", "network_name"]),
-        "networks": (networks, DIMENSION_KEYS["networks"], ["global_pos_code", "network_subname_alt"]),
-    })
-    require_slices(fact, months, chains)
+    months = _checked(skus, stores, networks, start, end, chains, known_chains)
+    require_slices(fact, months, chains, may_be_empty)
     result = build(fact, skus, stores, networks, months=(months[0], months[-1]), chains=chains, **variant)
-    replace_slices(
-        insert_aligned(stamped(result)), path, SLICE, requested={"report_date": months, "network_name": chains}
+    table = slice_table(fact.sparkSession, path)
+    return table.replace(insert_aligned(stamped(result)), set(product(months, chains)), may_be_empty)
+
+
+def input_marks(fact: DataFrame, months: list[date], chains: list[str], dimensions: str, variant: str = "") -> dict[tuple, str]:
+    """Per (month, network) with sales: a mark of all that its slice is made from. One scan of the six columns a rollup reads."""
+    asked = fact.where(F.col("month_year").isin(months) & F.col("network_name").isin(chains))
+    columns = ["global_sku_code", "global_pos_code", "pieces", "sales_rub"]
+    found = marks(asked, ["month_year", "network_name"], columns).collect()
+    return {(r["month_year"], r["network_name"]): f"{r['mark']}|{dimensions}|{variant}" for r in found}
+
+
+def refresh_changed(
+    fact: DataFrame,
+    skus: DataFrame,
+    stores: DataFrame,
+    networks: DataFrame,
+    path: str,
+    start: str | date,
+    end: str | date,
+    chains: list[str],
+    known_chains: list[str],
+    may_be_empty: bool | Collection[tuple[date, str]] = False,
+    **variant,
+) -> list[tuple[date, str]]:
+    """`refresh`, but only of the slices whose sales, dimensions or options differ from those they were made from.
+
+    The marks of the input are kept in the manifest beside each slice. Slices whose sales are gone are deleted where
+    `may_be_empty` allows it. Returns the slices that changed; without any, nothing is written and the version stays.
+    Any change of a dimension recomputes all requested slices.
+    """
+    months = _checked(skus, stores, networks, start, end, chains, known_chains)
+    table = slice_table(fact.sparkSession, path)
+    own = ["global_pos_code", "network_name", *variant.get("store_columns", ())]
+    dimensions = table_mark(
+        skus.select("global_sku_code", *ROW_KEYS), stores.select(*own), networks.select("global_pos_code", "network_subname_alt")
+    )
+    now = input_marks(fact, months, chains, dimensions, str(sorted((k, str(v)) for k, v in variant.items())))
+    stored = table.manifest().slices
+    changed = {k for k, mark in now.items() if k not in stored or stored[k].mark != mark}
+    gone = {k for k in product(months, chains) if k in stored and k not in now}
+    if not changed | gone:
+        return []
+    pairs = fact.sparkSession.createDataFrame(sorted(changed), "month_year date, network_name string")
+    picked = fact.where(F.col("month_year").isin(sorted({m for m, _ in changed}) or [None])).join(
+        F.broadcast(pairs), ["month_year", "network_name"], "left_semi"  # one row per month and network
     )
+    result = build(picked, skus, stores, networks, **variant)
+    table.replace(insert_aligned(stamped(result)), changed | gone, may_be_empty, now)
+    return sorted(changed | gone)
 
 
-def read_rollup(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(ROLLUP).parquet(path).select(*ROLLUP.fieldNames())
+def read_rollup(spark: SparkSession, path: str, slices: Collection[tuple[date, str]] | None = None) -> DataFrame:
+    """The stored rollup, or some of its slices."""
+    return slice_table(spark, path).read(slices=slices)

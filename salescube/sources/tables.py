@@ -1,16 +1,13 @@
-"""The loaded warehouse: star tables, views over them, and slice-wise replacement of results."""
+"""The loaded warehouse: star tables, views over them, and results."""
 
 from __future__ import annotations
 
-from itertools import product
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salescube.operators.checks import InputError, four_places, not_null
 from salescube.schemas import RETAIL_SALES, ROLLUP
-from salescube.sources.scratch import release, stage
 
 
 def append_sales(raw: DataFrame, path: str) -> None:
@@ -60,43 +57,6 @@ def weight_category_view(skus: DataFrame, bounds: list[tuple[float, str]]) -> Da
     return skus.select("global_sku_code", "weight", named.alias("weight_category"))
 
 
-def replace_slices(
-    result: DataFrame,
-    path: str,
-    keys: list[str],
-    requested: dict[str, list] | None = None,
-) -> None:
-    """Replace exactly the (key) slices present in the result and leave every other slice as it is.
-
-    The result is staged first, so it is computed once and checked whole: an empty result, a slice outside the `requested` key
-    values, or a requested slice without rows (whose old rows would stay) is refused before anything is replaced. The replacement itself is swapped in on commit, so a
-    failed job leaves the old slices. Running it twice gives the same table.
-    """
-    staged = stage(result, "slices")
-    found = staged.select(*keys).distinct().collect()  # one row per month and network
-    if not found:
-        raise InputError("nothing to store: the new slices are empty")
-    for key, allowed in (requested or {}).items():
-        strangers = sorted({str(row[key]) for row in found if row[key] not in allowed})
-        if strangers:
-            raise InputError(f"the result holds {key} values that were not requested: {', '.join(strangers)}")
-    if requested:
-        named = [k for k in keys if k in requested]
-        present = {tuple(row[k] for k in named) for row in found}
-        absent = sorted(str(", ".join(map(str, s))) for s in product(*(requested[k] for k in named)) if s not in present)
-        if absent:
-            raise InputError(f"requested slices have no rows and would keep their old ones: {'; '.join(absent)}")
-    (
-        staged.hint("rebalance", *keys)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .partitionBy(*keys)
-        .parquet(path)
-    )
-    release(staged)
-
-
 def insert_aligned(df: DataFrame, target: T.StructType = ROLLUP) -> DataFrame:
     """Columns of the target table, by name and in its order, with its types."""
     missing = sorted(set(target.fieldNames()) - set(df.columns))

@@ -129,10 +129,10 @@ def test_refresh_refuses_before_it_replaces(spark, star, tmp_path):
     with pytest.raises(ValueError):
         rollup.refresh(*star, path, "01.02.2024", "31.01.2024", ["N"], ["N"])
     other = stores.withColumn("network_name", F.lit("M"))
-    with pytest.raises(checks.InputError, match="not requested: M"):
+    with pytest.raises(checks.InputError, match="not requested: 2024-01-01, M"):
         rollup.refresh(fact, skus, other, networks, path, "01.01.2024", "31.01.2024", ["N"], ["N"])
     with pytest.raises(checks.InputError, match="empty"):
-        tables.replace_slices(rollup.read_rollup(spark, path).limit(0), path, rollup.SLICE)
+        rollup.slice_table(spark, path).replace(rollup.read_rollup(spark, path).limit(0))
     assert sorted(map(str, rollup.read_rollup(spark, path).collect())) == before
 
 

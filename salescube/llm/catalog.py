@@ -1,6 +1,5 @@
 """Registered queries of this package with their SQL."""
 
-import corpus_pipeline
 from salescube.llm import (
     decontamination, hard_negatives, language_id, line_dedup, near_dedup, ngram_lm, pii, piece_codec, prefix_trie, quality, secret_scan,
     substring_dedup, toxicity,
@@ -23,5 +22,4 @@ QUERIES = {
     "op11_line_dedup": line_dedup.op11_line_dedup,
     "op12_prefix_trie": prefix_trie.op12_prefix_trie,
     "op13_hard_negatives": hard_negatives.op13_hard_negatives,
-    "pipeline": corpus_pipeline.run,
 }

@@ -29,6 +29,13 @@ def _renamed(sales: str) -> str:
     return FINE.replace("retail_sales AS", f"{sales} AS", 1)
 
 
+def _counts(period: str) -> str:
+    """Distinct stores at the rollup's four levels, counted anew over the sales of each period."""
+    dated = f"{_renamed('fine_sales')}, retail_sales AS (SELECT *, {period} AS period FROM fine_sales)"
+    names = 'network_name, network_subname, category, segment, "group", producer, brand, global_sku_name, weight, level'
+    return f"WITH {dated}, {rollup_sql(period='period')} SELECT report_date AS period, {names}, akb FROM rollup"
+
+
 ORACLES = {
     "rollup_grouping_sets": _ROLLUP,
     "slice_replace": _ROLLUP,
@@ -42,6 +49,16 @@ ORACLES = {
     "slice_versions": f"""WITH {FINE}, {rollup_sql()}, {rollup_sql(name="retail", where="n.store_format <> 'wholesale'")}
         SELECT *, 1 AS version FROM rollup WHERE report_date = DATE '1995-03-01' AND network_name = 'ASIA'
         UNION ALL SELECT *, 2 FROM retail WHERE report_date = DATE '1995-03-01' AND network_name = 'ASIA'""",
+    "active_stores_monthly": _counts("month_year"),
+    "active_stores_by_quarter": _counts("CAST(date_trunc('quarter', month_year) AS date)"),
+    "active_stores_by_year": f"""WITH {FINE}
+        SELECT CAST(date_trunc('year', month_year) AS date) AS period, network_name, category, producer, count(DISTINCT global_pos_code) AS akb
+        FROM retail_sales JOIN base_sku USING (global_sku_code) JOIN base_sales_point USING (global_pos_code) GROUP BY ALL""",
+    "active_stores_trailing": f"""WITH {FINE},
+        sold AS (SELECT DISTINCT month_year, network_name, network_subname, global_pos_code FROM retail_sales JOIN base_sales_point USING (global_pos_code)),
+        ends AS (SELECT DISTINCT month_year AS period FROM sold)
+        SELECT period, network_name, network_subname, count(DISTINCT global_pos_code) AS akb
+        FROM ends JOIN sold ON month_year BETWEEN period - INTERVAL 2 MONTH AND period GROUP BY ALL""",
     "snapshot_of_year": f"WITH {FINE}, {_FULL} SELECT * FROM full_sales WHERE year(month_year) = 1995",
     "views_sql": f"""WITH {FINE}
         SELECT CASE store_format WHEN 'wholesale' THEN store_format ELSE n.network_subname END AS place,

@@ -12,8 +12,8 @@ from salescube.functions.dates import month_starts, mondays, weeks_between
 from salescube.functions.measures import as_doubles
 from salescube.operators import checks
 from salescube.operators.star import sku_names, slice_extract
-from salescube.plans import rollup, warehouse
-from salescube.schemas import BASE_SALES_POINT, BASE_SKU, CALENDAR, RETAIL_SALES
+from salescube.plans import active_stores, rollup, warehouse
+from salescube.schemas import BASE_SALES_POINT, BASE_SKU, CALENDAR, RETAIL_SALES, SKU, TOTAL
 from salescube.sources import snapshot, tables
 from salescube.sources.scratch import new_path, stage
 
@@ -116,6 +116,39 @@ def slice_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seen[0].unionByName(seen[1]).drop("last_update")
 
 
+def _stored_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sets of active stores, stored by month and network; those of one network are made again with two more numbered stores."""
+    star = fine_star(spark, sf_dir)
+    first = active_stores.store_numbers(star.base_sales_point.where(F.col("network_name") != NETWORK))
+    numbers = stage(active_stores.store_numbers(star.base_sales_point, stage(first, "numbers")), "numbers")
+    path = new_path(spark, "store-sets")
+    words = active_stores.store_words(star.fact, star.base_sku, star.base_sales_point, star.networks, numbers)
+    active_stores.store(words, path)
+    return active_stores.table(spark, path).read()
+
+
+def active_stores_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollup's store counts, from stored sets."""
+    return active_stores.counts(_stored_sets(spark, sf_dir), F.col("report_date"))
+
+
+def active_stores_by_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stores active in a quarter, at every product level, from the stored monthly sets."""
+    return active_stores.counts(_stored_sets(spark, sf_dir), active_stores.quarter(F.col("report_date")))
+
+
+def active_stores_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stores active in a year by whole network, category and producer: levels the monthly sets do not have."""
+    products = _stored_sets(spark, sf_dir).where(F.col("level") == SKU)
+    return active_stores.counts(products, active_stores.year(F.col("report_date")), ["network_name", "category", "producer"])
+
+
+def active_stores_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stores active in the three months up to each month, by reporting network."""
+    totals = _stored_sets(spark, sf_dir).where(F.col("level") == TOTAL)
+    return active_stores.trailing(totals, 3, ["network_name", "network_subname"])
+
+
 def snapshot_of_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copy the sales of one year, picked by its month directories, and read the copy."""
     stored = new_path(spark, "sales")
@@ -362,6 +395,10 @@ QUERIES = {
     "slice_delete": slice_delete,
     "rollup_incremental": rollup_incremental,
     "slice_versions": slice_versions,
+    "active_stores_monthly": active_stores_monthly,
+    "active_stores_by_quarter": active_stores_by_quarter,
+    "active_stores_by_year": active_stores_by_year,
+    "active_stores_trailing": active_stores_trailing,
     "snapshot_of_year": snapshot_of_year,
     "views_sql": views_sql,
     "slice_extract": slice_extracts,

@@ -117,6 +117,7 @@ ORACLES = {
                CASE WHEN weight <= 1000 THEN 'light' WHEN weight <= 3000 THEN 'medium' END AS weight_category
         FROM base_sku""",
     "snapshot_roundtrip": f"WITH {FINE}, {_FULL} SELECT * FROM full_sales",
+    "zstd_roundtrip": f"WITH {FINE}, {_FULL} SELECT * FROM full_sales",
     "warehouse_sales": f"WITH {FINE}, {_FULL} SELECT * FROM full_sales",
     "warehouse_skus": f"""WITH {FINE}
         SELECT global_sku_code, 'any' AS network_name, 'K-' || global_sku_code AS sku_code,
@@ -148,3 +149,5 @@ ORACLES = {
                CAST(sales_rub AS double) AS sales_rub
         FROM retail_sales WHERE month_year = (SELECT max(month_year) FROM retail_sales)""",
 }
+
+ORACLES["zstd_stores"] = ORACLES["warehouse_stores"]

@@ -16,6 +16,7 @@ from salescube.plans import active_stores, rollup, warehouse
 from salescube.schemas import BASE_SALES_POINT, BASE_SKU, CALENDAR, RETAIL_SALES, SKU, TOTAL
 from salescube.sources import snapshot, tables
 from salescube.sources.scratch import new_path, stage
+from salescube.sources.zstd_text import read_zstd
 
 TAKEN = date(2024, 1, 10)
 MONTH, NEXT_MONTH = date(1995, 3, 1), date(1995, 4, 1)
@@ -333,16 +334,28 @@ def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot.read_snapshot(spark, paths["retail_sales"], RETAIL_SALES)
 
 
-def _loaded(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _loaded(spark: SparkSession, sf_dir: str, fmt: str) -> dict[str, DataFrame]:
     source = {"retail_sales": raw_sales(spark, sf_dir), **source_dimensions(spark, sf_dir)}
-    paths = warehouse.take_snapshot(source, new_path(spark, "dump"), TAKEN, fmt="csv")
+    paths = warehouse.take_snapshot(source, new_path(spark, "dump"), TAKEN, fmt=fmt)
     sales = paths.pop("retail_sales")
-    return warehouse.load_star(spark, sales, paths, new_path(spark, "warehouse"), fmt="csv")
+    return warehouse.load_star(spark, sales, paths, new_path(spark, "warehouse"), fmt=fmt)
 
 
 def warehouse_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dump all source tables as text, load the star, read the sales."""
-    return _loaded(spark, sf_dir)["retail_sales"]
+    return _loaded(spark, sf_dir, "csv")["retail_sales"]
+
+
+def zstd_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dump all source tables as Zstandard text, a file per month and task, load the star from the dumps, read the sales."""
+    return _loaded(spark, sf_dir, "zst")["retail_sales"]
+
+
+def zstd_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stores, whose texts hold separators and quotes, dumped as Zstandard text and read back with all columns."""
+    source = {"base_sales_point": source_dimensions(spark, sf_dir)["base_sales_point"]}
+    paths = warehouse.take_snapshot(source, new_path(spark, "dump"), TAKEN, fmt="zst")
+    return read_zstd(spark, paths["base_sales_point"], BASE_SALES_POINT)
 
 
 def warehouse_skus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -414,6 +427,8 @@ QUERIES = {
     "weight_categories": weight_categories,
     "snapshot_roundtrip": snapshot_roundtrip,
     "warehouse_sales": warehouse_sales,
+    "zstd_roundtrip": zstd_roundtrip,
+    "zstd_stores": zstd_stores,
     "warehouse_skus": warehouse_skus,
     "warehouse_stores": warehouse_stores,
     "warehouse_calendar": warehouse_calendar,

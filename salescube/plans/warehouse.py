@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescube.operators.checks import InputError
-from salescube.schemas import BASE_SALES_POINT, BASE_SKU, CALENDAR, RAW_PARTITION, STAR
+from salescube.schemas import BASE_SALES_POINT, BASE_SKU, CALENDAR, RAW_PARTITION, RETAIL_SALES, STAR
 from salescube.sources.snapshot import latest_partition, read_dump, read_snapshot, snapshot_path, write_snapshot
 from salescube.sources.tables import append_sales, read_table, write_dimension
+from salescube.sources.zstd_text import read_zstd
 
 DIMENSIONS = {"calendar": CALENDAR, "base_sku": BASE_SKU, "base_sales_point": BASE_SALES_POINT}
 FACT = "retail_sales"
@@ -57,9 +58,10 @@ def load_star(
 
     All sales files are read in one job, whatever their number; the columns the star does not hold are not parsed.
     """
-    read = {"parquet": read_snapshot, "csv": read_dump}[fmt]
+    read = {"parquet": read_snapshot, "csv": read_dump, "zst": read_zstd}[fmt]
     target = target.rstrip("/")
     for name, path in dimensions.items():
         write_dimension(read(spark, path, DIMENSIONS[name]), f"{target}/{name}", DIMENSIONS[name])
-    append_sales(read(spark, sales, RAW_PARTITION), f"{target}/{FACT}")
+    pruned = {"columns": RETAIL_SALES.fieldNames()} if fmt == "zst" else {}  # the other readers prune by themselves
+    append_sales(read(spark, sales, RAW_PARTITION, **pruned), f"{target}/{FACT}")
     return {name: read_table(spark, f"{target}/{name}", STAR[name]) for name in [FACT, *dimensions]}

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salescube.sources.zstd_text import write_zstd
+
 # The text dump format and the names of dumped partitions, as in retail_sales_y2024m1_2024-01-10.zst.
 CSV_OPTIONS = {"sep": ";", "header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 PARTITION_NAME = r"retail_sales_y(\d{4})m(\d{1,2})"
@@ -26,8 +28,13 @@ def write_snapshot(
 ) -> None:
     """One directory per partition. Adaptive execution spreads a large partition over tasks and files by its bytes.
 
-    Parquet with zstd by default; `fmt="csv"` writes the text dump format, gzip-compressed.
+    Parquet with zstd by default. `fmt="zst"` writes text dumps in Zstandard frames (`zstd_text`), whose files carry the name of the
+    directory they are written to; `fmt="csv"` writes text compressed with gzip.
     """
+    if fmt == "zst":
+        name, _, taken = path.rstrip("/").rpartition("/")[2].rpartition("_")
+        write_zstd(df, path, name or taken, taken if name else "", partition_by)
+        return
     if partition_by is not None:
         df = df.hint("rebalance", partition_by)
     writer = df.write.mode("errorifexists")
@@ -38,7 +45,7 @@ def write_snapshot(
     elif fmt == "csv":
         writer.options(**CSV_OPTIONS).option("compression", "gzip").csv(path)
     else:
-        raise ValueError(f"unknown snapshot format {fmt!r}, expected 'parquet' or 'csv'")
+        raise ValueError(f"unknown snapshot format {fmt!r}, expected 'parquet', 'zst' or 'csv'")
 
 
 def read_snapshot(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:

@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding with a BPE piece file, by batched Viterbi over numpy arrays.
 
-A text is cut at its spaces; every cut, and the text's start, is the space mark of the word after it. Words not seen lately are
-encoded together: words of equal length form one matrix of code points and advance together, one position at a time. A polynomial
+A text is cut at its spaces; every cut, and the text's start, is the space mark of the word after it. Words are named by 64-bit hashes
+over all texts of a piece at once; their ids are gathered from a cache of sorted hashes, and `round_trip` compares the bytes of the ids
+with the text, so a word is never silently taken for another. Words not seen lately are encoded together: words of equal length form one matrix of code points and advance together, one position at a time. A polynomial
 hash of every substring of up to the longest piece's length probes the sorted hashes of the pieces (hits are verified on the code
 points). A prefix ending with piece q extends the best segmentation ending where q starts, whose last piece is p, if merging
 would leave p and q side by side; such a segmentation is unique, so the maximum over the lengths of q, stored as backpointer,
@@ -19,8 +20,8 @@ Defined cases: null and empty texts have no ids; text that is not valid UTF-8 is
 
 from __future__ import annotations
 
+import hashlib
 import heapq
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,10 @@ MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 _LITERAL_MARK = 0x110000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_CACHED_WORDS = 150_000
+_CACHED_WORDS = 500_000
+_CACHE = ("runs", "names", "places", "counts", "known_ids")
+_KEPT: dict[str, dict] = {}
+_UNMARKED = np.uint64(0xB492B66FBE98F273)
 
 
 def _merged(symbols: list[str], rank: dict[str, int]) -> list[tuple[str, str, str]]:
@@ -65,6 +69,7 @@ class Pieces:
     def __init__(self, model: bytes):
         from sentencepiece import sentencepiece_model_pb2 as proto
 
+        self.key = hashlib.sha256(model).hexdigest()
         spec = proto.ModelProto()
         spec.ParseFromString(model)
         norm = spec.normalizer_spec
@@ -112,6 +117,10 @@ class Pieces:
         self.hash_tops[(self.hash_keys >> np.uint64(44)).astype(np.int64)] = True
         inner = np.arange(self.longest - 1) < self.sizes[:, None] - 1
         self.joined = np.unique((self.points[:, :-1] << 21 | self.points[:, 1:])[inner])
+        pairs = np.arange(128)[:, None] << 21 | np.arange(128)
+        self.parted = np.zeros((256, 256), bool)
+        self.parted[:128, :128] = ~np.isin(pairs, self.joined)
+        self.parted[32, :] = self.parted[:, 32] = False
 
         self.run_rank = {k: r for r, k in enumerate(sorted((k for k in runs if len(k) > 1), key=lambda k: (-spec.pieces[runs[k]].score, 0)))}
         tied = {}
@@ -123,12 +132,26 @@ class Pieces:
         self.out_sizes = np.array([len(d) for d in data], np.int64)
         self.out_starts = np.cumsum(self.out_sizes) - self.out_sizes
         self.out_bytes = np.frombuffer(b"".join(data), np.uint8)
-        self.cache: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.runs: dict[int, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the cache: words by their sorted hashes, with the place and number of their ids."""
+        self.runs: dict[int, np.ndarray] = {}
+        self.names, self.places, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.known_ids = np.zeros(0, np.int32)
+
+    def keep(self) -> None:
+        """Leave the cache to the next task of this worker; one piece file's cache is kept."""
+        _KEPT.clear()
+        _KEPT[self.key] = {c: self.__dict__[c] for c in _CACHE}
 
     def __getstate__(self):
-        return {**self.__dict__, "cache": {}, "old": {}, "runs": {}}
+        return {k: v for k, v in self.__dict__.items() if k not in _CACHE}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.forget()
+        self.__dict__.update(_KEPT.get(self.key, {}))
 
     def apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether the pieces of these ranks stay side by side when their characters are merged together."""
@@ -202,13 +225,13 @@ class Pieces:
             ids[strange] = self.of_byte[data]
         return ids, np.bincount(row, sizes, rows).astype(np.int64)
 
-    def _learn(self, words: list[str]) -> None:
-        """Put the ids of these words (each with its space mark in front) into the cache."""
-        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    def _encoded(self, words: list[str], marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of these words (those `marked` with their space mark in front), end to end, and how many each has."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + marked
         starts = np.cumsum(sizes) - sizes
-        points = np.frombuffer((MARK + MARK.join(words)).encode("utf-32-le"), np.uint32).astype(np.int64)
+        points = np.frombuffer("".join([MARK + w if m else w for w, m in zip(words, marked.tolist())]).encode("utf-32-le"), np.uint32).astype(np.int64)
         literal = points == ord(MARK)
-        literal[starts] = False
+        literal[starts[marked]] = False
         points[literal] = _LITERAL_MARK
         # no piece reaches over two characters that are side by side in none, so words are cut there
         pair = points[:-1] << 21 | points[1:]
@@ -235,58 +258,108 @@ class Pieces:
         held, counts, owners = np.concatenate(held), np.concatenate(counts), np.concatenate(owners)
         offsets, total = np.empty(len(first), np.int64), np.empty(len(first), np.int64)
         offsets[owners], total[owners] = np.cumsum(counts) - counts, counts
-        flat = held[np.repeat(offsets[back], total[back]) + tokens.ramp(total[back])].tobytes()
+        flat = held[np.repeat(offsets[back], total[back]) + tokens.ramp(total[back])]
         ends = np.cumsum(total[back])
-        of_word = 4 * ends[np.searchsorted(np.flatnonzero(cut), starts + sizes) - 1]
-        bounds = [0, *of_word.tolist()]
-        self.cache.update(zip(words, (flat[a:b] for a, b in zip(bounds, bounds[1:]))))
+        return flat, np.diff(ends[np.searchsorted(np.flatnonzero(cut), starts + sizes) - 1], prepend=0)
 
-    def _spaces(self, count: int) -> bytes:
+    def _spaces(self, count: int) -> np.ndarray:
         """Ids of `count` space marks in a row."""
-        if not count:
-            return b""
         if count not in self.runs:
-            self.runs[count] = np.array([self.run_ids[p[0]] for p in _merged([MARK] * count, self.run_rank)], np.int32).tobytes()
+            self.runs[count] = np.array([self.run_ids[p[0]] for p in _merged([MARK] * count, self.run_rank)], np.int32) if count else np.zeros(0, np.int32)
         return self.runs[count]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
-        split = [t.split(" ") if t else [] for t in texts]
-        if len(self.cache) > _CACHED_WORDS:
-            self.old, self.cache = self.cache, {}
-            self.runs.clear()
-        new = set(chain.from_iterable(split)).difference(self.cache)
-        new.discard("")
-        for word in new.intersection(self.old):
-            self.cache[word] = self.old[word]
-        new.difference_update(self.old)
-        if new:
-            self._learn(list(new))
-        mark = np.int32(self.run_ids[MARK]).tobytes()
-        out = []
-        for words in split:
-            if "" not in words:
-                out.append(b"".join([self.cache[w] for w in words]))
-                continue
-            held, run = [], 0
-            for word in words:
-                if not word:
-                    run += 1
-                    continue
-                ids = self.cache[word]
-                alone = ids[:4] == mark
-                held += [self._spaces(run + alone), ids[4 * alone:]]
-                run = 0
-            out.append(b"".join([*held, self._spaces(run)]))
-        return out
-
-    def decode(self, ids: np.ndarray, at: np.ndarray) -> list[bytes]:
-        """UTF-8 of the texts with ids[at[i]:at[i + 1]]."""
+    def _lookup(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of these words lie in `known_ids`, and how many there are; words not seen lately are encoded first."""
+        names = tokens.word_hashes(raw, starts, ends)
+        names[~marked] = tokens.mix(names[~marked] ^ _UNMARKED)
+        names, first, back = np.unique(names, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.names, names)
+        at[at == len(self.names)] = 0
+        new = np.flatnonzero(self.names[at] != names) if len(self.names) else np.arange(len(names))
+        if len(new):
+            data = raw.tobytes()
+            words = [data[a:b].decode("utf-8", "replace") for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())]
+            flat, counts = self._encoded(words, marked[first[new]])
+            if len(self.names) + len(new) > _CACHED_WORDS:  # only this piece's words stay
+                stay = np.delete(at, new)
+                sizes = self.counts[stay]
+                self.known_ids = self.known_ids[np.repeat(self.places[stay], sizes) + tokens.ramp(sizes)]
+                self.names, self.places, self.counts = self.names[stay], np.cumsum(sizes) - sizes, sizes
+            merged = np.concatenate([self.names, names[new]])
+            order = np.argsort(merged, kind="stable")
+            self.places = np.concatenate([self.places, len(self.known_ids) + np.cumsum(counts) - counts])[order]
+            self.names, self.counts = merged[order], np.concatenate([self.counts, counts])[order]
+            self.known_ids = np.concatenate([self.known_ids, flat])
+            at = np.searchsorted(self.names, names)
+        return self.places[at[back]], self.counts[at[back]]
+
+    def encode(self, raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts raw[offs[i]:offs[i + 1]], end to end, and where each text's ids start (one entry more than texts)."""
+        blanks = np.flatnonzero(raw == 32)
+        begun = np.flatnonzero(np.diff(offs))
+        # no piece reaches over two characters that are side by side in none, so words are cut between such letters and signs, too
+        inner = self.parted[raw[:-1], raw[1:]] if len(raw) else np.zeros(0, bool)
+        inner[offs[(offs > 0) & (offs < len(raw))] - 1] = False
+        cuts = np.flatnonzero(inner) + 1
+        starts, ends = np.sort(np.r_[offs[begun], blanks + 1, cuts]), np.sort(np.r_[blanks, offs[begun + 1], cuts])
+        marked = ~np.r_[False, inner, False][starts] if len(starts) else np.zeros(0, bool)
+        per_text = np.diff(np.searchsorted(blanks, offs) + np.searchsorted(cuts, offs))
+        per_text[begun] += 1
+        text = np.repeat(np.arange(len(per_text)), per_text)
+        full = ends > starts
+        place, count = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+        if full.any():
+            place[full], count[full] = self._lookup(raw, starts[full], ends[full], marked[full])
+        extra = {}
+        if not full.all():  # runs of spaces: one mark for each empty word, with the next word's own mark if that stands alone
+            alone = np.zeros(len(starts), bool)
+            alone[full] = self.known_ids[place[full]] == self.run_ids[MARK]
+            empty = np.flatnonzero(~full)
+            last = np.r_[(np.diff(empty) > 1) | (np.diff(text[empty]) > 0), True]
+            length = np.diff(np.flatnonzero(last), prepend=-1)
+            for at, run in zip(empty[last].tolist(), length.tolist()):
+                follows = at + 1 < len(starts) and text[at + 1] == text[at] and alone[at + 1]
+                extra[at] = self._spaces(run + int(follows))
+                count[at] = len(extra[at])
+                if follows:
+                    place[at + 1] += 1
+                    count[at + 1] -= 1
+        out_at = np.cumsum(count) - count
+        words = np.where(full, count, 0)
+        flat = np.zeros(int(count.sum()), np.int32)
+        flat[np.repeat(out_at, words) + tokens.ramp(words)] = self.known_ids[np.repeat(place, words) + tokens.ramp(words)]
+        for at, ids in extra.items():
+            flat[out_at[at]:out_at[at] + len(ids)] = ids
+        sums = np.zeros(len(count) + 1, np.int64)
+        np.cumsum(count, out=sums[1:])
+        return flat, sums[np.r_[0, np.cumsum(per_text)]]
+
+    def _bytes(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of the ids, and where those of each begin (one entry more than ids)."""
         sizes = self.out_sizes[ids]
-        data = self.out_bytes[np.repeat(self.out_starts[ids], sizes) + tokens.ramp(sizes)].tobytes()
         ends = np.zeros(len(ids) + 1, np.int64)
         np.cumsum(sizes, out=ends[1:])
-        cuts = ends[at].tolist()
+        return self.out_bytes[np.repeat(self.out_starts[ids] - ends[:-1], sizes) + np.arange(ends[-1])], ends
+
+    def returns(self, ids: np.ndarray, at: np.ndarray, raw: np.ndarray, offs: np.ndarray) -> np.ndarray:
+        """Whether decoding gives the very bytes of each text."""
+        data, ends = self._bytes(ids)
+        cuts, sizes = ends[at], np.diff(offs)
+        some = sizes > 0
+        same = np.diff(cuts) == sizes + some  # a space stands before the first word
+        if same.all():
+            wanted = np.full(len(data), 32, np.uint8)
+            wanted[np.arange(len(raw)) + np.repeat(np.cumsum(some), sizes)] = raw
+            wrong = np.flatnonzero(data != wanted)
+            same[np.searchsorted(cuts, wrong, side="right") - 1] = False
+            return same
+        return np.array([ok and data[a:b].tobytes().removeprefix(b" ") == raw[c:d].tobytes()
+                         for ok, a, b, c, d in zip(same, cuts, cuts[1:], offs, offs[1:])], bool)
+
+    def decode(self, ids: np.ndarray, at: np.ndarray) -> list[bytes]:
+        """UTF-8 of the texts with ids[at[i]:at[i + 1]]."""
+        data, ends = self._bytes(ids)
+        data, cuts = data.tobytes(), ends[at].tolist()
         return [data[a:b].removeprefix(b" ") for a, b in zip(cuts, cuts[1:])]
 
 
@@ -309,28 +382,22 @@ def load(path: str = MODEL_FILE) -> Pieces:
         return Pieces(f.read())
 
 
-def _texts(column: pa.Array) -> list[str]:
-    return [b.decode("utf-8", "replace") if b is not None else "" for b in column.cast(pa.binary()).to_pylist()]
-
-
 def encoded(documents: DataFrame, pieces: Pieces) -> DataFrame:
     """The documents with three more columns: n_tokens, token_ids, round_trip (decoding the ids gives the text's bytes)."""
     own = documents.columns
-    width, place = len(own), own.index("text")
+    width = len(own)
     names = ["n_tokens", "token_ids", "round_trip"]
     while set(names) & {c.lower() for c in own}:
         names = [n + "_" for n in names]
 
     def run(batches):
         for rows, raw, offs in tokens.text_chunks(batches):
-            ids = pieces.encode(_texts(rows.column(place)))
-            at = np.r_[0, np.cumsum([len(b) // 4 for b in ids])].astype(np.int64)
-            flat = np.frombuffer(b"".join(ids), np.int32)
-            back = pieces.decode(flat, at)
-            same = [raw[a:b].tobytes() == x for a, b, x in zip(offs[:-1].tolist(), offs[1:].tolist(), back)]
+            flat, at = pieces.encode(raw, offs)
+            same = pieces.returns(flat, at, raw, offs)
             lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
                 [*rows.columns[:width], pa.array(np.diff(at).astype(np.int32)), lists, pa.array(same)], names=[*own, *names])
+        pieces.keep()
 
     added = [StructField(n, t) for n, t in zip(names, (IntegerType(), ArrayType(IntegerType()), BooleanType()))]
     return documents.mapInArrow(run, StructType([*documents.schema.fields, *added]))

@@ -35,8 +35,8 @@ from salescube.llm.store import SortedStore, new_path, put, shard_bits
 from salescube.sources.scratch import stage
 
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
-SHARD_ENTRIES = 3_000_000
-FOLD = 2_000_000
+SHARD_ENTRIES = 1_000_000
+FOLD = 600_000
 _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
 
 

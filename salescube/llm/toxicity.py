@@ -192,8 +192,10 @@ def fit(texts: list[bytes], toxic: list[int], counts: dict[int, int] | None = No
     standing = [(counts or sampled)[y] / sampled[y] for _, y in known]
     fold = np.arange(len(known)) * FOLDS // len(known)  # near copies are neighbours and stay in one part
 
+    words = [_words(t) for t, _ in known]
+
     def split(part: int) -> list[list[list[bytes]]]:
-        return [[_words(t) for (t, y), f in zip(known, fold) if y == k and f != part] for k in (1, 0)]
+        return [[w for w, (_, y), f in zip(words, known, fold) if y == k and f != part] for k in (1, 0)]
 
     toxic_words, ordinary_words = split(-1)
     content = _content(ordinary_words)

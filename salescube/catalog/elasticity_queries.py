@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from salescube.catalog.star import Star, coarse_star, table
 from salescube.functions.measures import as_doubles
-from salescube.plans import elasticity
+from salescube.plans import elasticity, ped_states
+from salescube.plans.ped_windows import Windows
 from salescube.sources import tables
 from salescube.sources.scratch import new_path, stage
 
@@ -18,6 +19,9 @@ from salescube.sources.scratch import new_path, stage
 WIDTH = 500
 PRODUCTS = ["Brand#11", "Brand#23"]
 NETWORKS = ["ASIA", "EUROPE"]
+# Windows of two years; fewer store-weeks than the whole span has, so wider bins.
+WINDOW_WEEKS = 104
+WINDOW_WIDTH = 5_000
 
 
 @dataclass
@@ -159,6 +163,28 @@ def price_points_sql_of_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_doubles(elasticity.price_points_sql(*study(spark, sf_dir).inputs, width=WIDTH, products=PRODUCTS, subnames=NETWORKS))
 
 
+def ped_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fits of pairs, products, networks and all together, read from the stored states of the pairs."""
+    path = new_path(spark, "fit-states")
+    ped_states.write_states(ped_states.states(study(spark, sf_dir).points()), path)
+    return ped_states.all_fits(ped_states.read_states(spark, path))
+
+
+def _windows(spark: SparkSession, sf_dir: str) -> Windows:
+    s = study(spark, sf_dir)
+    return Windows(elasticity.store_weeks(*s.inputs, width=WINDOW_WIDTH), s.start, s.weeks, WINDOW_WEEKS)
+
+
+def kept_store_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The start weeks in whose windows each store is kept."""
+    return _windows(spark, sf_dir).kept_spans()
+
+
+def ped_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fits of every pair for every start week."""
+    return as_doubles(_windows(spark, sf_dir).fits(WINDOW_WIDTH).drop("slope", "intercept"))
+
+
 QUERIES = {
     "store_week_prices": store_week_prices,
     "store_activity": store_activity,
@@ -181,4 +207,7 @@ QUERIES = {
     "study_results": study_results,
     "study_of_products": study_of_products,
     "price_points_sql_of_products": price_points_sql_of_products,
+    "ped_merged": ped_merged,
+    "kept_store_spans": kept_store_spans,
+    "ped_by_window": ped_by_window,
 }

@@ -6,6 +6,7 @@ One shuffle brings store-weeks together, one the weeks of a store; all later ste
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 from decimal import Decimal
 
@@ -132,8 +133,6 @@ def price_levels(
     out. A bin must reach `share` of all combinations of weeks and stores: of all listed stores or, with `base="kept"`, of the
     kept ones. Rows with `price_bin` null carry the store-weeks without a price; they count as stores, not as a bin.
     """
-    if base not in ("all", "kept"):
-        raise ValueError(f"unknown store base {base!r}, expected 'all' or 'kept'")
     kept = F.col("filter") == 1
     binned = flagged_weeks.groupBy(*PAIR, "price_bin", "price_bin_range").agg(
         F.sum(F.when(kept, F.col("kg"))).alias("kg"),
@@ -150,6 +149,13 @@ def price_levels(
         F.sum("kept_stores").over(pair).alias("kept_stores"),
         F.sum("akb").over(pair).alias("kept_rows"),
     )
+    return covered(counted, weeks, share, base)
+
+
+def covered(counted: DataFrame, weeks: int, share: float = COVERAGE_SHARE, base: str = "all") -> DataFrame:
+    """Counted bins with their turnover, the coverage limit of their pair and whether they reach it."""
+    if base not in ("all", "kept"):
+        raise ValueError(f"unknown store base {base!r}, expected 'all' or 'kept'")
     stores = F.col("listed_stores" if base == "all" else "kept_stores")
     if base == "all":
         limit = F.rint(F.lit(float(share)) * stores * F.lit(weeks))
@@ -180,12 +186,12 @@ def price_points(levels: DataFrame, width: float = BIN_WIDTH) -> DataFrame:
     return placed(levels.where(F.col("filter") == 1), width)
 
 
-def fitted(points: DataFrame) -> DataFrame:
+def fitted(points: DataFrame, keys: Sequence[str] = PAIR) -> DataFrame:
     """Placed levels with the pair's fit through its covered bins and the predicted turnover; turnover of zero stays out of the fit."""
     positive = (F.col("filter") == 1) & (F.col("turnover") > 0)
     line = weighted_line(
         points,
-        PAIR,
+        list(keys),
         x=F.when(positive, F.ln("price_bin")),
         y=F.when(positive, F.ln("turnover")),
         weight=F.col("akb"),
@@ -199,23 +205,23 @@ def predictions(points: DataFrame) -> DataFrame:
     )
 
 
-def fits(levels: DataFrame) -> DataFrame:
-    """Slope, intercept and quality of every pair of the (placed) levels, the errors measured on the unlogged scale.
+def fits(levels: DataFrame, keys: Sequence[str] = PAIR) -> DataFrame:
+    """Slope, intercept and quality of every pair (or other `keys`) of the placed levels, the errors measured on the unlogged scale.
 
     A pair without a covered bin has status `no_points`, one with a single price `too_few_points`; both keep their stores,
     weeks and kilograms.
     """
-    pair = Window.partitionBy(*PAIR).orderBy("price_bin").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    pair = Window.partitionBy(*keys).orderBy("price_bin").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     covered = F.col("filter") == 1
     used = covered & (F.col("turnover") > 0)
     w = F.when(used, F.col("akb").cast("double"))
     y = F.col("turnover")
-    centred = fitted(levels).withColumn(
+    centred = fitted(levels, keys).withColumn(
         "__mean", F.try_divide(F.sum(w * y).over(pair), F.sum(w).over(pair))
     )
     error = F.sum(w * F.pow(y - F.col("predicted"), 2.0))
     total = F.sum(w * F.pow(y - F.col("__mean"), 2.0))
-    per_pair = centred.groupBy(*PAIR).agg(
+    per_pair = centred.groupBy(*keys).agg(
         F.max("slope").alias("slope"),
         F.max("intercept").alias("intercept"),
         F.max("fit_points").alias("points"),
@@ -228,7 +234,7 @@ def fits(levels: DataFrame) -> DataFrame:
         *[F.max(c).alias(c) for c in ("listed_kg", "listed_stores", "kept_stores", "kept_rows")],
     )
     return per_pair.select(
-        *PAIR,
+        *keys,
         F.when(F.col("covered") == 0, F.lit("no_points")).when(F.col("slope").isNull(), F.lit("too_few_points")).otherwise(F.lit("ok")).alias("status"),
         "points",
         "points_left_out",

@@ -2,13 +2,13 @@
 
 Words are runs of characters other than ASCII white space, unchanged. Each of a text's windows of `window` words is routed by its
 minimizer, the smallest hash among its eight-word runs (the leftmost of equals): equal windows have equal minimizers, wherever
-they stand. Consecutive windows with their minimizer at one place make a context (their words, 28 windows at most).
+they stand. Consecutive windows with their minimizer at one place make a context (their words, `window` - 7 windows at most).
 
 1. One pass counts minimizers. A window whose minimizer is seen once cannot repeat; the others are live. Live minimizers go to a
    sorted store in the shared folder.
 2. A second pass sends each live context, equal ones of a task folded to one with a count, to the shard of its minimizer's top
-   bits. A minimizer that is seen more than `hot` times sends single windows to the shard of the window's own hash instead, so
-   a passage that many documents share is spread over all shards.
+   bits. A minimizer whose contexts would fill an eighth of a shard (seen more than `hot` times) sends single windows to the
+   shard of the window's own hash instead, so a passage that many documents share is spread over all shards.
 3. Each shard builds an FM-index of its distinct contexts (wavelet matrix over the Burrows-Wheeler transform), and streams the
    contexts backward through it: matching statistics, with occurrences weighted by the counts, tell which windows repeat.
    The answer, one bit per window, is written to a sorted store.
@@ -36,9 +36,9 @@ from salescube.sources.scratch import stage
 GRAM = 8
 WINDOW = 35
 SHARD_WORDS = 500_000
-HOT = 20_000
 STORE_KEYS = 4_000_000
-_MOST = 28
+#: A minimizer that alone would fill this share of a shard is split.
+HOT_SHARE = 1 / 8
 
 
 class _Contexts:
@@ -147,7 +147,7 @@ def _removal(live: SortedStore, answers: SortedStore, window: int, hot: int, tex
             names, back = np.unique(keys, return_inverse=True)
             mask = answers.find(names)[1]["mask"][back]
             change = np.zeros(len(parts.words) + 1, np.int64)
-            for bit in range(_MOST):
+            for bit in range(window - GRAM + 1):
                 begun = low[(mask >> np.uint32(bit)) & 1 == 1] + bit
                 np.add.at(change, begun, 1)
                 np.add.at(change, begun + window, -1)
@@ -186,10 +186,11 @@ def _rows(rows, raw, offs, parts: _Contexts, gone: np.ndarray, texts: bool) -> p
     return pa.RecordBatch.from_arrays(arrays, names=names)
 
 
-def without_repeats(documents: DataFrame, window: int = WINDOW, texts: bool = False, hot: int = HOT, shard_words: int = SHARD_WORDS) -> DataFrame:
+def without_repeats(documents: DataFrame, window: int = WINDOW, texts: bool = False, hot: int | None = None, shard_words: int = SHARD_WORDS) -> DataFrame:
     """One row per document row: doc_id, n_words, n_removed, kept_sha256, and with `texts` kept_text (kept words and one space)."""
     if not GRAM <= window < GRAM + 32:
         raise ValueError(f"window must be {GRAM} to {GRAM + 31} words")
+    hot = int(HOT_SHARE * shard_words / (window + 10)) if hot is None else hot
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     root = new_path(spark, "windows")

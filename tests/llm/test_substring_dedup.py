@@ -23,7 +23,7 @@ def brute(rows, window):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("window, hot, shard_words", [(35, 20_000, 500_000), (12, 20_000, 300), (12, 1, 300), (8, 3, 1000)])
+@pytest.mark.parametrize("window, hot, shard_words", [(35, None, 500_000), (35, None, 4_000), (12, 20_000, 300), (12, 1, 300), (8, 3, 1000)])
 def test_equals_counting_all_windows(spark, window, hot, shard_words):
     rows = near_copies(9) + [(1000, "x y z " * 80), (1001, " ".join(f"line{i % 40}" for i in range(200))), (None, "a b " * 60)]
     got = substring_dedup.without_repeats(frame(spark, rows), window, texts=True, hot=hot, shard_words=shard_words).collect()
@@ -31,6 +31,21 @@ def test_equals_counting_all_windows(spark, window, hot, shard_words):
     assert any(r.n_removed for r in got) and any(0 < r.n_removed < r.n_words for r in got)
 
 
+@pytest.mark.parametrize("window", [36, 39])
+def test_passages_of_exactly_one_window(spark, window):
+    """Single windows that two documents share, at every place of a context."""
+    rng = np.random.default_rng(window)
+    rows = []
+    for i in range(120):
+        passage = [f"p{i}w{k}" for k in rng.integers(0, 10**6, window)]
+        for j in range(2):
+            before, after = (["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(rng.integers(1, 60))] for _ in range(2))
+            rows.append((2 * i + j, " ".join(before + passage + after)))
+    got = substring_dedup.without_repeats(frame(spark, rows), window, texts=True).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows, window)
+    assert all(r.n_removed >= window for r in got)
+
+
 def test_empty_table_and_bad_window(spark):
     assert substring_dedup.without_repeats(frame(spark, [])).count() == 0
     assert substring_dedup.without_repeats(frame(spark, [(1, None), (2, "")])).agg({"n_words": "sum"}).first()[0] == 0

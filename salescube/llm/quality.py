@@ -1,9 +1,11 @@
 """Quality rules as a short-circuit cascade of native column expressions.
 
 A document is rejected if it breaks a rule. The cascade evaluates rules one after another and stops at the first broken one, so
-their order decides the cost. It is found on a sample (`SAMPLE` texts of at most `SAMPLE_CHARS` characters, those with the smallest
-hash): each rule is timed there and its verdicts are kept; then the rule with the most rejections per second among the rows that
-are left goes next. The verdict is the same for every order.
+their order decides the cost. It is found on a sample (`SAMPLE` documents, those whose doc_id, or text without one, has the smallest
+hash, less those of over `SAMPLE_CHARS` characters). Each rule's verdicts are kept there, and its cost is the time of evaluating it
+`REPEATS` times on every text, least of `RUNS` runs, less the time of the same job with a rule that costs nothing. Costs count in
+steps of a factor of two, so that chance does not move them. Then the rule with the most rejections by cost among the rows that
+are left goes next; ties go by name. The verdict is the same for every order.
 
 Words are runs of characters other than ASCII white space. The rules read these measures: n_words, word_chars (code points in
 words), n_symbols (characters of #*$%&|<>), n_dup_lines (lines with a word that equal an earlier line), n_repeat_words (words under
@@ -18,6 +20,7 @@ each; an empty table gives an empty result; other columns are ignored by `measur
 
 from __future__ import annotations
 
+import math
 import time
 
 from pyspark.sql import DataFrame, functions as F
@@ -25,6 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 from salescube.sources.scratch import stage
 
 SAMPLE, SAMPLE_CHARS = 1_000, 20_000
+REPEATS, RUNS = 20, 3
 WINDOW = 5
 #: White space that parts words, characters counted as symbols.
 SPACE = r"[\\x20\\x09-\\x0D]"
@@ -76,25 +80,46 @@ def _rules(m: dict[str, str], text: str) -> dict[str, str]:
     }
 
 
-def cascade_order(documents: DataFrame, sample: int = SAMPLE) -> list[str]:
-    """Rules by rejection per second on the sample, each on what the rules before it leave."""
-    picked = documents.select("text").where(f"length(text) <= {SAMPLE_CHARS}").orderBy(F.xxhash64("text"), "text").limit(sample)
-    held = stage(picked.withColumn("words", F.expr(_WORDS.format(text="text"))), "sample")
-    rules = _rules(_measures("text", "words"), "text")
-    cost = {}
-    for name, broken in rules.items():
-        begun = time.perf_counter()
-        held.agg(F.count_if(F.expr(broken))).collect()
-        cost[name] = max(time.perf_counter() - begun, 1e-3)
-    rows = held.select(*(F.expr(broken).alias(name) for name, broken in rules.items())).collect()
-    order = []
-    while len(order) < len(rules):
-        best = max((n for n in rules if n not in order), key=lambda n: sum(r[n] for r in rows) / cost[n])
-        order.append(best)
-        rows = [r for r in rows if not r[best]]
+def _sampled(documents: DataFrame, sample: int) -> DataFrame:
+    """Texts of the rows with the smallest hashes. Hashes are picked first, so that tasks pass on numbers instead of texts."""
+    key = F.xxhash64("doc_id" if "doc_id" in documents.columns else "text")
+    picked = [r[0] for r in documents.select(key.alias("key")).orderBy("key").limit(sample).collect()]
+    return documents.where(key.isin(picked) & (F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS)).select("text").limit(sample)
+
+
+def _seconds(held: DataFrame, broken: str) -> float:
+    """Time of evaluating a rule `REPEATS` times on each text."""
+    again = held.select(F.explode(F.sequence(F.lit(1), F.lit(REPEATS))), "*")
+    begun = time.perf_counter()
+    again.agg(F.count_if(F.expr(broken))).collect()
+    return time.perf_counter() - begun
+
+
+def _order(costs: dict[str, float], verdicts: list) -> list[str]:
+    """Rules by rejection per cost, each on the rows that the rules before it leave; `verdicts` say by row which rules are broken."""
+    steps = {name: 2.0 ** round(math.log2(cost)) for name, cost in costs.items()}
+    order, rows = [], verdicts
+    while len(order) < len(steps):
+        rest = sorted(set(steps) - set(order))
+        order.append(max(rest, key=lambda n: (sum(r[n] for r in rows) / steps[n], -steps[n])))
+        rows = [r for r in rows if not r[order[-1]]]
     return order
 
 
+def estimates(documents: DataFrame, sample: int = SAMPLE) -> tuple[dict[str, float], list]:
+    """Cost of each rule in seconds per evaluation of the whole sample, and the verdicts on it."""
+    held = stage(_sampled(documents, sample).withColumn("words", F.expr(_WORDS.format(text="text"))), "sample")
+    rules = _rules(_measures("text", "words"), "text")
+    idle = min(_seconds(held, "size(words) < 0") for _ in range(RUNS))
+    costs = {n: max(min(_seconds(held, broken) for _ in range(RUNS)) - idle, 0.01) / REPEATS for n, broken in rules.items()}
+    return costs, held.select(*(F.expr(broken).alias(name) for name, broken in rules.items())).collect()
+
+
+def cascade_order(documents: DataFrame, sample: int = SAMPLE) -> list[str]:
+    """Rules by rejection per cost on the sample, each on what the rules before it leave."""
+    return _order(*estimates(documents, sample))
+
+
 def _verdict(rules: dict[str, str], order: list[str]) -> str:
     """Whether no rule is broken; a rule is evaluated only if those before it hold."""
     return "case " + " ".join(f"when {rules[n]} then false" for n in order) + " else true end"

@@ -1,6 +1,8 @@
 import re
 from collections import Counter
 
+import pytest
+
 from salescube.llm import quality
 from tests.llm.samples import frame, near_copies, words
 
@@ -44,6 +46,34 @@ def test_real_texts_and_clean_documents(spark):
     assert sum(r.kept for r in mine) / len(mine) > 0.98
 
 
+def test_order_follows_cost_and_rejections():
+    rows = [{"a": True, "b": False, "c": True}] * 6 + [{"a": False, "b": True, "c": False}] * 4 + [{"a": False, "b": False, "c": False}] * 90
+    assert quality._order({"a": 1.0, "b": 1.0, "c": 1.0}, rows) == ["a", "b", "c"]
+    assert quality._order({"a": 8.0, "b": 1.0, "c": 2.0}, rows) == ["b", "c", "a"]
+    assert quality._order({"a": 1.1, "b": 0.9, "c": 1.05}, rows) == quality._order({"a": 0.95, "b": 1.1, "c": 1.0}, rows)
+    assert quality._order({"b": 4.0, "a": 1.0}, []) == ["a", "b"]
+
+
+def test_order_is_stable_and_copies_do_not_fill_the_sample(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").cache()
+    orders = [quality.cascade_order(documents) for _ in range(5)]
+    first = {o[0] for o in orders}
+    assert len(first) == 1, orders
+    text = documents.first().text
+    copies = frame(spark, [(i, text) for i in range(300)] + [(1000 + i, f"text {i}") for i in range(300)])
+    held = [r.text for r in quality._sampled(copies, 60).collect()]
+    assert len(held) == 60 and 10 < held.count(text) < 50
+
+
+def test_a_rule_is_evaluated_only_on_what_earlier_ones_leave(spark):
+    """The second rule fails the job when it is reached."""
+    rules = {"first": "id < 900", "second": "raise_error(concat('reached ', id)) is not null"}
+    verdict = quality._verdict(rules, ["first", "second"])
+    assert spark.range(900).selectExpr(f"{verdict} as kept").where("kept").count() == 0
+    with pytest.raises(Exception, match="reached 9"):
+        spark.range(901, 999).selectExpr(f"{verdict} as kept").where("kept").count()
+
+
 def test_native_and_empty(spark):
     out = quality.measured(frame(spark, []))
     plan = out._jdf.queryExecution().executedPlan().toString()

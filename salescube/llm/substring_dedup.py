@@ -61,7 +61,7 @@ class _Contexts:
         if len(at):
             fresh[1:] |= grams[at[:-1]] == smallest[:-1]  # the minimizer fell out on the left; an equal run follows
         begun = np.flatnonzero(fresh)
-        self.minimizer, self.low = smallest[begun], at[begun]
+        self.minimizer, self.low = tokens.mix(smallest[begun]), at[begun]  # least hashes crowd at zero; scrambled they spread over shards
         self.high = at[np.r_[begun[1:], len(at)] - 1] if len(at) else at
 
     def live(self, store: SortedStore, bits: int, window: int, hot: int):

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 from salescube.sources.scratch import stage
 
 SAMPLE, SAMPLE_CHARS = 1_000, 20_000
-REPEATS, RUNS = 20, 3
+REPEATS, RUNS = 5, 2
 WINDOW = 5
 #: White space that parts words, characters counted as symbols.
 SPACE = r"[\\x20\\x09-\\x0D]"

@@ -36,7 +36,23 @@ def _counts(period: str) -> str:
     return f"WITH {dated}, {rollup_sql(period='period')} SELECT report_date AS period, {names}, akb FROM rollup"
 
 
+_GAPS = f"""{FINE}, lost AS (
+  SELECT r.*, concat_ws(',', CASE WHEN p.global_sku_code IS NULL THEN 'product' END, CASE WHEN s.global_pos_code IS NULL THEN 'store' END,
+                        CASE WHEN n.global_pos_code IS NULL THEN 'network' END) AS loss
+  FROM retail_sales r
+  LEFT JOIN base_sku p ON p.global_sku_code = r.global_sku_code AND weight <= 4000
+  LEFT JOIN base_sales_point s ON s.global_pos_code = r.global_pos_code AND s.store_format <> 'wholesale'
+  LEFT JOIN base_sales_point n ON n.global_pos_code = r.global_pos_code AND n.network_name <> 'ASIA')"""
+_SUMS = "count(*) AS sales_rows, CAST(sum(pieces) AS bigint) AS pieces, CAST(sum(sales_rub) AS double) AS sales_rub"
+_MATCHED = rollup_sql(where="p.weight <= 4000 AND n.store_format <> 'wholesale' AND n.network_name <> 'ASIA'")
+
 ORACLES = {
+    "join_losses": f"""WITH {_GAPS}
+        SELECT month_year, coalesce(nullif(loss, ''), 'kept') AS loss, {_SUMS} FROM lost GROUP BY ALL""",
+    "missing_codes": f"""WITH {_GAPS}, named AS (SELECT *, unnest(string_split(loss, ',')) AS dimension FROM lost WHERE loss <> '')
+        SELECT dimension, CASE dimension WHEN 'product' THEN global_sku_code ELSE global_pos_code END AS code, {_SUMS}
+        FROM named GROUP BY 1, 2""",
+    "rollup_of_matched": f"WITH {FINE}, {_MATCHED} SELECT * FROM rollup",
     "rollup_grouping_sets": _ROLLUP,
     "slice_replace": _ROLLUP,
     "rollup_refresh": _ROLLUP,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from salescube.catalog.star import Star, fine_star, table
 from salescube.functions.dates import month_starts, mondays, weeks_between
 from salescube.functions.measures import as_doubles
-from salescube.operators import checks
+from salescube.operators import checks, losses
 from salescube.operators.star import sku_names, slice_extract
 from salescube.plans import active_stores, rollup, warehouse
 from salescube.schemas import BASE_SALES_POINT, BASE_SKU, CALENDAR, RETAIL_SALES, SKU, TOTAL
@@ -55,6 +55,31 @@ def rollup_variant_regrouped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_rollup(star)
 
 
+def _gappy(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, losses.Split]:
+    """The rollup while heavy products, wholesale stores and the stores of one network still lack their entries."""
+    star = fine_star(spark, sf_dir)
+    reported = star.base_sales_point.where(F.col("network_name") != NETWORK).select("global_pos_code")
+    return rollup.build_split(
+        star.fact, star.base_sku.where("weight <= 4000"), star.base_sales_point.where("store_format <> 'wholesale'"),
+        star.networks.join(reported, "global_pos_code", "left_semi"),
+    )
+
+
+def join_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales by month and by the dimensions that lack them, beside what the rollup holds."""
+    return as_doubles(losses.balance(_gappy(spark, sf_dir)[1]))
+
+
+def missing_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes without an entry, with the sales they hold back."""
+    return as_doubles(losses.missing_codes(_gappy(spark, sf_dir)[1]))
+
+
+def rollup_of_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollup of the same pass, from the sales that every dimension knows."""
+    return _gappy(spark, sf_dir)[0]
+
+
 def slice_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store all slices, rewrite those of one network, read everything back."""
     star = fine_star(spark, sf_dir)
@@ -403,6 +428,9 @@ QUERIES = {
     "rollup_variant_filtered": rollup_variant_filtered,
     "rollup_variant_whole": rollup_variant_whole,
     "rollup_variant_regrouped": rollup_variant_regrouped,
+    "join_losses": join_losses,
+    "missing_codes": missing_codes,
+    "rollup_of_matched": rollup_of_matched,
     "slice_replace": slice_replace,
     "rollup_refresh": rollup_refresh,
     "slice_delete": slice_delete,

@@ -9,8 +9,8 @@ from salescube.functions.measures import exact
 from salescube.functions.sizing import bounded_broadcast
 
 
-def fold_sales(fact: DataFrame, *keys: str) -> DataFrame:
-    """Sum pieces and roubles by the given key columns.
+def fold_sales(fact: DataFrame, *keys: str, counted: bool = False) -> DataFrame:
+    """Sum pieces and roubles by the given key columns; `counted` adds the number of sales rows.
 
     Runs before any dimension join, so the first shuffle carries a few narrow columns, is combined map-side, and
     spreads a hot product over its stores and a hot store over its products.
@@ -18,6 +18,7 @@ def fold_sales(fact: DataFrame, *keys: str) -> DataFrame:
     return fact.groupBy(*keys).agg(
         F.sum(F.col("pieces").cast("long")).alias("pieces"),
         F.sum(exact("sales_rub")).alias("sales_rub"),
+        *([F.count(F.lit(1)).alias("sales_rows")] if counted else []),
     )
 
 

@@ -16,7 +16,7 @@ from salescube.functions.measures import price_per_kg, ratio, round_even
 from salescube.functions.sizing import bounded_broadcast
 from salescube.functions.text import roman
 from salescube.operators.checks import InputError
-from salescube.operators.prefix import bucketed, join_null_safe, magnitude
+from salescube.operators.prefix import bucketed, join_null_safe, magnitude, ranked
 from salescube.schemas import GROUP, GROUP_KEYS, PRODUCER, ROW_KEYS, SKU, TOTAL
 from salescube.sources.scratch import stage
 
@@ -200,25 +200,19 @@ def numbered(report_rows: DataFrame) -> DataFrame:
     """
     section = [_NET, *GROUP_KEYS, "level"]
     by_name = [*[F.col(k).asc_nulls_first() for k in GROUP_KEYS], F.col("level")]
-    placed = bucketed(
-        report_rows,
-        buckets={
-            **{k: F.col(k) for k in section},
-            "bucket_3m": magnitude("sales_3m"),
-            # products without trailing sales tie in the first bucket, so all-time sales cut that one further
-            "bucket_all": F.when(F.col("sales_3m") == 0, magnitude("sales_all")).otherwise(0),
-        },
-        bucket_order=[*by_name, F.col("bucket_3m").desc(), F.col("bucket_all").desc()],
-        order=[
-            F.col("sales_3m").desc(),
-            F.col("sales_all").desc(),
-            F.col("label").asc_nulls_first(),
-            F.col("producer").asc_nulls_first(),
-            F.col("brand").asc_nulls_first(),
-            F.col("weight"),
-        ],
-        numbers={"position": [_NET], "number_in_section": section},
-    )
+    order = [
+        *by_name,
+        F.col("sales_3m").desc(),
+        F.col("sales_all").desc(),
+        F.col("label").asc_nulls_first(),
+        F.col("producer").asc_nulls_first(),
+        F.col("brand").asc_nulls_first(),
+        F.col("weight"),
+    ]
+    placed = ranked(report_rows, [_NET], order, "position", report_rows.columns)
+    first = placed.groupBy(*section).agg(F.min("position").alias("first_position"))
+    in_section = F.col("position") - F.col("first_position") + 1
+    placed = join_null_safe(placed, first, section).withColumn("number_in_section", in_section)
     number = F.col("number_in_section")
     return placed.select(
         *report_rows.columns,

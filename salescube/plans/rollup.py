@@ -13,6 +13,7 @@ from salescube.functions.dates import period_bounds
 from salescube.functions.measures import grams, round_even
 from salescube.operators.checks import InputError, require_clean, require_known, require_slices
 from salescube.operators.fingerprint import marks, table_mark
+from salescube.operators.losses import Split, split_sales
 from salescube.operators.star import fold_sales, star_join, store_dimension
 from salescube.schemas import DIMENSION_KEYS, GROUP_KEYS, ROLLUP, ROW_KEYS
 from salescube.sources.slices import SliceTable
@@ -20,6 +21,7 @@ from salescube.sources.tables import insert_aligned
 
 SLICE = ["report_date", "network_name"]
 _SLICE_KEYS = [*SLICE, "network_subname"]
+_FOLD_KEYS = ["month_year", "global_sku_code", "global_pos_code"]
 
 
 def build(
@@ -42,11 +44,45 @@ def build(
 
     Shuffles: the fold, the distinct stores by level, the final groups. Only the fold sees fact-sized data.
     """
+    folded = fold_sales(_requested(fact, months, chains), *_FOLD_KEYS)
+    return _cube(folded, skus, stores, networks, where, subname, store_columns)
+
+
+def build_split(
+    fact: DataFrame,
+    skus: DataFrame,
+    stores: DataFrame,
+    networks: DataFrame,
+    *,
+    months: tuple[date, date] | None = None,
+    chains: list[str] | None = None,
+    where: Column | None = None,
+    subname: Column | None = None,
+    store_columns: tuple[str, ...] = (),
+) -> tuple[DataFrame, Split]:
+    """The rollup, and the folded sales behind it with what the joins left out (`operators.losses`); the sales are read once."""
+    split = split_sales(fold_sales(_requested(fact, months, chains), *_FOLD_KEYS, counted=True), skus, stores, networks)
+    return _cube(split.kept, skus, stores, networks, where, subname, store_columns), split
+
+
+def _requested(fact: DataFrame, months: tuple[date, date] | None, chains: list[str] | None) -> DataFrame:
     if months is not None:
         fact = fact.where(F.col("month_year").between(*months))
     if chains is not None:
         fact = fact.where(F.col("network_name").isin(chains))
-    folded = fold_sales(fact, "month_year", "global_sku_code", "global_pos_code")
+    return fact
+
+
+def _cube(
+    folded: DataFrame,
+    skus: DataFrame,
+    stores: DataFrame,
+    networks: DataFrame,
+    where: Column | None,
+    subname: Column | None,
+    store_columns: tuple[str, ...],
+) -> DataFrame:
+    """The four levels over folded sales."""
     joined = star_join(
         folded,
         skus.select("global_sku_code", *ROW_KEYS),

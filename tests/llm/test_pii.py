@@ -73,3 +73,29 @@ def test_redaction_and_empty(spark):
     assert text[0] == "some filler text then reach me under <email> today" and text[21] == "other filler words, reach me under <context>, please"
     assert text[30] == dict(rows)[30] and text[99] is None and text[98] == ""
     assert pii.scan(frame(spark, [])).count() == 0
+
+
+#: What stands before and after an identifier; the first two come with addresses, the last with numbers that identify nobody.
+FRAMES = ["reach me under", "my account is", "order part number"]
+
+
+def test_unseen_identifiers_planted_into_real_texts(spark):
+    """In texts of sf0.01: 60 addresses after each of two phrases, then 100 handles and badge numbers that no base pattern describes."""
+    rng = random.Random(17)
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("text is not null").orderBy("doc_id").select("doc_id", "text")
+    rows, unseen = [tuple(r) for r in documents.collect()], {}
+    for i in range(320):
+        doc_id, text = rows[i]
+        at = text.find(" ") + 1
+        number = rng.randrange(10_000, 100_000)
+        phrase = FRAMES[i % 2] if i < 220 else FRAMES[2]
+        held = f"user{number}@mail{i}.org" if i < 120 else f"{rng.choice(['handle', 'badge'])}-{number}" if i < 220 else str(number)
+        rows[i] = (doc_id, f"{text[:at]}{phrase} {held} {text[at:]}")
+        if 120 <= i < 220:
+            begin = at + len(phrase) + 1
+            unseen[doc_id] = f"context:{begin}:{begin + len(held)}"
+    hits = calls = 0
+    for r in pii.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect():
+        calls += r.n_context
+        hits += unseen.get(r.doc_id) in r.spans.split(",")
+    assert hits >= 90 and hits >= 0.95 * calls, (hits, calls)

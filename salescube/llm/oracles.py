@@ -66,7 +66,9 @@ _FIVES = """CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lamb
 _LEAKS = f"""WITH items AS (
   SELECT DISTINCT item_id, unnest({_FIVES}) AS s FROM (SELECT item_id, {_SPACED} AS w FROM benchmark)),
 sizes AS (SELECT item_id, count(*) AS n FROM items GROUP BY item_id),
-docs AS (SELECT DISTINCT doc_id, unnest({_FIVES}) AS s FROM (SELECT doc_id, {_SPACED} AS w FROM documents)),
+lengths AS (SELECT DISTINCT len(string_split(s, ' ')) AS n FROM items),
+docs AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS s
+         FROM (SELECT doc_id, {_SPACED} AS w FROM documents), lengths),
 shared AS (SELECT doc_id, item_id, count(*) AS common FROM docs JOIN items USING (s) GROUP BY ALL),
 found AS (
   SELECT doc_id, item_id, CAST(common AS double) / n AS containment FROM shared JOIN sizes USING (item_id) WHERE 10 * common >= 8 * n

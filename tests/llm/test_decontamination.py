@@ -1,10 +1,13 @@
 import random
 import re
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 from salescube.llm import decontamination
+from salescube.llm.oracles import ORACLES
 from tests.llm.samples import frame
 
 
@@ -94,3 +97,17 @@ def test_rows_of_one_item_are_united(spark):
     got = decontamination.scan(frame(spark, rows), benchmark).collect()
     want = brute(rows, items)
     assert sorted(map(tuple, got), key=str) == want and want[0] == (1, 1, 0.8, True)
+
+
+def test_reference_sql_finds_short_items_too(spark):
+    """The registered SQL against the operator where items have one to four words, inside longer and shorter documents."""
+    items = [(1, "What is 2 + 2?"), (2, "blue"), (3, "a b c d e f g"), (4, "four words make it"), (5, None), (6, "?"), (7, "tie here"), (8, "here tie")]
+    rows = [(1, "so what is 2 2 he asked"), (2, "Blue."), (3, "x a b c d e f g y"), (4, "four words make"), (5, "well, four words make it so"), (6, None),
+            (7, ""), (8, "the tie here tie"), (9, "bluer what is 2"), (10, "a b c d e f"), (11, "what is 2 2")]
+    db = duckdb.connect()
+    db.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    db.register("benchmark", pd.DataFrame(items, columns=["item_id", "text"]))
+    want = sorted(db.execute(f"SELECT doc_id, item_id, containment, contaminated FROM ({ORACLES['op9_decontamination']})").fetchall())
+    got = decontamination.scan(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(map(tuple, got.select("doc_id", "item_id", "containment", "contaminated").collect())) == want
+    assert [r[1] for r in want] == [1, 2, 3, None, 4, None, None, 7, None, None, 1]

@@ -168,3 +168,46 @@ def test_sku_name_is_the_first_in_text_order(spark):
 def test_month_list():
     assert rollup.months_in("15.01.2022", "10.03.2022") == [date(2022, 2, 1), date(2022, 3, 1)]
     assert rollup.months_in(date(2021, 12, 1), date(2022, 1, 1)) == [date(2021, 12, 1), date(2022, 1, 1)]
+
+
+def test_rows_travel_without_texts_and_are_not_multiplied_by_level(star):
+    """A shuffle of all levels' rows with their texts took 38 times the input."""
+    plan = rollup.build(*star)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "Generate explode" in plan
+    assert all("global_sku_name" not in line for line in plan.splitlines() if "Aggregate" in line or "Window" in line)
+
+
+def test_levels_equal_plain_sums_over_odd_rows(spark):
+    """Two codes of one product row, nulls in the hierarchy, a code and a store that come twice, a store in two networks."""
+    fact = [sale(f"s{s}", f"p{p}", s + p, float(s * p)) for s in range(7) for p in range(6) if (s + p) % 4]
+    skus = [
+        ("s0", "c", "s", "g", "b", "x", "one", 2.0), ("s1", "c", "s", "g", "b", "x", "one", 2.0), ("s2", "c", "s", "g", "b", None, "two", 4.0),
+        ("s3", "c", "s", None, "b", "x", "one", None), ("s4", "c", "s", "", "b", "x", None, 0.0), ("s5", None, "s", "g", "b", "x", "one", 2.0),
+        ("s6", "c", "s", "g", "b", "y", "one", 2.0), ("s6", "c", "s", "g", "b", "y", "one", 2.0),
+    ]
+    stores = [("p0", "N"), ("p1", "N"), ("p1", "M"), ("p2", "M"), ("p2", "M"), ("p3", None), ("p4", "N")]
+    subs = {"p0": "S", "p1": "S", "p2": "T", "p3": None, "p4": "S"}
+    want = {}
+    for month, _, _, _, sku, pos, pieces, rub in fact:
+        for _, category, segment, group, brand, producer, name, weight in (r for r in skus if r[0] == sku):
+            for _, network in (r for r in stores if r[0] == pos):
+                texts = (category, segment, group, producer, brand, name, weight)
+                for level, kept in enumerate((0, 3, 4, 7)):
+                    key = (month, network, subs[pos], *[t if i < kept else None for i, t in enumerate(texts[:6])], (weight or 0.0) if level == 3 else 0.0, level)
+                    row = want.setdefault(key, [set(), 0, 0.0, None])
+                    row[0].add(pos)
+                    row[1] += pieces
+                    row[2] += rub
+                    row[3] = row[3] if weight is None else (row[3] or 0.0) + pieces * weight
+    found = rollup.build(
+        spark.createDataFrame(fact, FACT), spark.createDataFrame(skus, SKUS),
+        spark.createDataFrame(stores, "global_pos_code string, network_name string"),
+        spark.createDataFrame(list(subs.items()), "global_pos_code string, network_subname_alt string"),
+    ).collect()
+    got = {
+        (r["report_date"], r["network_name"], r["network_subname"], r["category"], r["segment"], r["group"], r["producer"], r["brand"],
+         r["global_sku_name"], r["weight"], r["level"]): (r["akb"], r["pieces"], r["sales_rub"], r["kg"])
+        for r in found
+    }
+    assert len(found) == len(got)
+    assert got == {k: (len(v[0]), v[1], v[2], None if v[3] is None else round(v[3] / 1000, 2)) for k, v in want.items()}

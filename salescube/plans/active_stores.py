@@ -19,17 +19,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salescube.functions.sizing import small_tasks
 from salescube.operators.prefix import ranked
-from salescube.operators.star import star_join, store_dimension
-from salescube.schemas import GROUP_KEYS, ROLLUP, ROW_KEYS, SKU
+from salescube.operators.star import PRODUCT_NUMBERS, level_texts, product_numbers, star_join, store_dimension
+from salescube.schemas import GROUP, PRODUCER, ROLLUP, ROW_KEYS, SKU, TOTAL
+from salescube.sources.scratch import stage
 from salescube.sources.slices import SliceTable
 from salescube.sources.tables import insert_aligned
 
 WORD = 64
 SLICE = ["report_date", "network_name"]
 _SLICE_KEYS = [*SLICE, "network_subname"]
-#: Keys of a rollup row, by level from the total down to the product.
-LEVEL_KEYS = [[], GROUP_KEYS, [*GROUP_KEYS, "producer"], ROW_KEYS]
 STORE_WORDS = T.StructType(
     [f for f in ROLLUP.fields if f.name in {*_SLICE_KEYS, *ROW_KEYS, "level"}]
     + [T.StructField("word", T.IntegerType(), False), T.StructField("stores", T.LongType(), False)]
@@ -61,26 +61,35 @@ def store_words(
 ) -> DataFrame:
     """Sets of active stores by month, network and each product level, for the same rows as the rollup.
 
-    One shuffle: all four levels are united map-side first. A product row's words are few, a network's words are shared by its products.
+    Rows travel under numbers of their product keys until they are finished. Each level is united from the one below, so only the
+    product rows are as many as the sales; they are staged, since two levels of the result read them.
     """
     if months is not None:
         fact = fact.where(F.col("month_year").between(*months))
     if chains is not None:
         fact = fact.where(F.col("network_name").isin(chains))
+    small_tasks(fact.sparkSession)
     sold = fact.select("month_year", "global_sku_code", "global_pos_code").distinct()
     places = store_dimension(stores, networks, "network_name").join(numbers, "global_pos_code")
-    joined = star_join(sold, skus.select("global_sku_code", *ROW_KEYS), places)
+    codes, texts = product_numbers(skus)
+    joined = star_join(sold, codes.select("global_sku_code", *PRODUCT_NUMBERS), places)
     rows = joined.select(
-        F.col("month_year").alias("report_date"), "network_name", F.col("network_subname_alt").alias("network_subname"), *ROW_KEYS,
+        F.col("month_year").alias("report_date"), "network_name", F.col("network_subname_alt").alias("network_subname"), *PRODUCT_NUMBERS,
         F.floor(F.col("store_no") / WORD).cast("int").alias("word"),
         F.expr(f"shiftleft(1L, cast(store_no % {WORD} as int))").alias("bit"),
     )
-    keys = [*_SLICE_KEYS, *ROW_KEYS, "word"]
-    sets = [[F.col(k) for k in (*_SLICE_KEYS, *level, "word")] for level in LEVEL_KEYS]
-    rolled_up = F.grouping("category") + F.grouping("producer") + F.grouping("brand")
-    cube = rows.groupingSets(sets, *[F.col(k) for k in keys]).agg(
-        (F.lit(SKU) - rolled_up).cast("int").alias("level"), F.bit_or("bit").alias("stores")
+    united_stores = F.bit_or("stores").alias("stores")
+    products = stage(rows.groupBy(*_SLICE_KEYS, *PRODUCT_NUMBERS, "word").agg(F.bit_or("bit").alias("stores")), "store-words")
+    producers = products.groupBy(*_SLICE_KEYS, "group_no", "producer_no", "word").agg(united_stores)
+    level = F.col("level")
+    number = F.when(level == PRODUCER, F.col("producer_no")).when(level == GROUP, F.col("group_no"))
+    upper = (
+        producers.withColumn("level", F.explode(F.array(F.lit(TOTAL), F.lit(GROUP), F.lit(PRODUCER))))
+        .groupBy(*_SLICE_KEYS, "level", number.alias("number"), "word")
+        .agg(united_stores)
     )
+    lowest = products.select(*_SLICE_KEYS, F.lit(SKU).alias("level"), F.col("row_no").alias("number"), "word", "stores")
+    cube = level_texts(lowest.unionByName(upper), texts)
     return cube.withColumn("weight", F.coalesce(F.col("weight").cast("double"), F.lit(0.0)))
 
 

@@ -85,3 +85,11 @@ def test_one_slice_is_replaced(spark, star, shops, tmp_path):  # noqa: F811
     stored = active_stores.counts(active_stores.table(spark, path).read(), F.col("report_date"))
     plain = active_stores.counts(active_stores.store_words(fewer, *dims, numbers), F.col("report_date"))
     assert sorted(map(str, stored.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_sets_travel_without_texts_and_are_not_multiplied_by_level(star):  # noqa: F811
+    fact, skus, stores, networks = star
+    words = active_stores.store_words(fact, skus, stores, networks, active_stores.store_numbers(stores))
+    plan = words._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "Generate explode" in plan
+    assert all("global_sku_name" not in line for line in plan.splitlines() if "Aggregate" in line)

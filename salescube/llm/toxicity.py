@@ -5,8 +5,8 @@ the smallest hash of doc_id):
 1. A zstandard dictionary is trained on the ordinary texts. The toxic word dictionary holds, in front of the same content, the words
    that toxic texts have significantly more often than ordinary ones (exact one-sided test, p below `SIGNIFICANT` over the number of
    words tried), if all their runs of `PIECE` bytes are in toxic texts at `LIFT` times the ordinary share or more (matches of
-   compression need no whole word). Matches with ordinary content cost the same with either, so the lengths differ by toxic
-   content alone. Windows of `WINDOW` words are compressed with both. A text's measures are its largest gain, the mean of its three
+   compression need no whole word, and this pair takes none shorter than `PIECE`, which the shares would not cover). Matches with
+   ordinary content cost the same with either, so the lengths differ by toxic content alone. Windows of `WINDOW` words are compressed with both. A text's measures are its largest gain, the mean of its three
    largest, its mean gain, and the logarithm of the number of windows that gain `CLEAR` bytes or more.
 2. Two more zstandard dictionaries of equal size, of at most `TRAINED_BYTES`, are trained on the toxic and on the ordinary texts, for
    phrases and spellings that no single word shows. Windows of `WIDE` words are compressed with both; the measures are the largest
@@ -114,9 +114,9 @@ def _trained(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> tuple[byt
     return both[0][-size:], both[1][-size:]
 
 
-def _compressor(content: bytes):
+def _compressor(content: bytes, shortest: int = 4):
     setting = zstandard.ZstdCompressionParameters.from_level(
-        LEVEL, min_match=4, window_log=17, write_content_size=False, write_checksum=False, write_dict_id=False)
+        LEVEL, min_match=shortest, window_log=17, write_content_size=False, write_checksum=False, write_dict_id=False)
     held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     held.precompute_compress(compression_params=setting)
     return zstandard.ZstdCompressor(compression_params=setting, dict_data=held).compress
@@ -148,7 +148,7 @@ class Model:
     def measures(self, text: bytes, trained: list | None = None) -> list[float]:
         """Measures of a text; `trained` are compressors to take in place of those of all texts."""
         if not self.tools:
-            self.tools += map(_compressor, (self.ordinary, self.toxic, *self.trained))
+            self.tools += [_compressor(c, PIECE) for c in (self.ordinary, self.toxic)] + [_compressor(c) for c in self.trained]
         words = _words(text)
         gains = _gains(words, WINDOW, *self.tools[:2])
         return [1.0, float(gains[0]), float(gains[:3].mean()), float(gains.mean()), math.log1p(int((gains >= CLEAR).sum())),

@@ -75,3 +75,14 @@ def test_calibration_does_not_follow_the_sample(spark):
     labels = spark.createDataFrame([(i, int(i % 21 == 0)) for i in range(420)], "doc_id long, toxic int")
     scores = [np.mean([r.score for r in toxicity.scored(frame(spark, rows), toxicity.train(frame(spark, rows), labels, n)).collect()]) for n in (20, 400)]
     assert all(abs(s - 1 / 21) < 0.04 for s in scores)
+
+
+def test_fragments_shorter_than_the_tested_runs_gain_nothing():
+    rng = np.random.default_rng(8)
+    plain = [bytes(rng.choice(list(b"abcdefgh"), 7)) for _ in range(900)]
+    content = b" " + b" ".join(plain[:300]) + b" "
+    model = toxicity.Model(content, b" qyzwxuv kjzqvwy " + content, (content, content))
+    parts = [b"qyzwx", b"yzwxu", b"zqvwy", b"kjzqv"]  # five bytes of a listed word, in words of their own
+    text = b" ".join(w[:1] + parts[i % 4] + w[1:2] for i, w in enumerate(plain[300:]))
+    assert model.measures(text)[1:4] == [0.0, 0.0, 0.0]
+    assert model.measures(b"qyzwxuv " + text)[1] > 0

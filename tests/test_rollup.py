@@ -211,3 +211,10 @@ def test_levels_equal_plain_sums_over_odd_rows(spark):
     }
     assert len(found) == len(got)
     assert got == {k: (len(v[0]), v[1], v[2], None if v[3] is None else round(v[3] / 1000, 2)) for k, v in want.items()}
+
+
+def test_upper_levels_are_added_up_from_one_shuffle_by_group(star):
+    """Producer rows were shuffled twice: once to be added up, and again beside the groups and totals."""
+    plan = rollup.build(*star)._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert any("group_no" in line for line in dealt) and all("level" not in line and "producer_no" not in line for line in dealt)

@@ -7,15 +7,17 @@ and 3 or more, and g, h the mass that discounting frees. The text's start is the
 leaves Pc. V + 1 words share the uniform part, the last being all unseen ones.
 
 1. Token counts: every task folds its tokens and sends sorted blocks of hashes to shards by their top bits; a shard merges its
-   blocks and writes the store `words`. A token's place in all shards together is its number.
+   blocks and appends them to the store `words`. A token's place in all shards together is its number.
 2. Bigram counts: pairs of numbers are spread by a hash of both tokens, so no frequent token gathers in one shard. A shard merges
-   its blocks, writes the store `pairs` (counts of 255 and more in the store `often`), and passes on, folded by token, how many
+   its blocks, appends to the store `pairs` (counts of 255 and more to the store `often`), and passes on, folded by token, how many
    distinct followers a token has that were seen once, twice or more, and how many distinct predecessors.
 3. These are summed per token and become columns of the store `words`.
 4. Scoring maps the stores and probes the distinct tokens and pairs of one piece of text at a time.
 
 Blocks are columns of numbers in one binary row, so Spark moves thousands of entries per row, and shards are sized from measured
-totals. All counts cover all training rows. A task holds one shard or one piece of text.
+totals. A store's file holds a run of shards, which one task merges one after another: shards grow in number with the input, but files
+do not, nor do the maps that scoring holds and visits for every piece of text. All counts cover all training rows. A task holds one
+shard or one piece of text.
 
 Defined cases: a null or empty text is one end token; a null doc_id is hashed as empty text for the split; an empty training set
 gives N = V = 0, base scores of log10(1) and a uniform model; repeated rows count each time and each come back; other columns are
@@ -25,17 +27,20 @@ ignored.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from salescube.llm import tokens
-from salescube.llm.store import SortedStore, new_path, put, shard_bits
+from salescube.llm.store import SortedStore, new_path, shard_bits
 from salescube.sources.scratch import stage
 
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 SHARD_ENTRIES = 1_000_000
+#: Top bits that give the file of a key: 256 files for each column of a store.
+FILE_BITS = 8
 FOLD = 600_000
 _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -106,12 +111,37 @@ def _word_block(held: list, bits: int) -> pa.RecordBatch:
     return _blocks(names, bits, n=_narrow(counts))
 
 
-def _merge_words(store: SortedStore):
-    def run(table: pa.Table) -> pa.Table:
-        names, counts = _fold(_joined(table, "key", np.uint64), _joined(table, "n", np.uint32).astype(np.int64))
-        shard = table.column("shard")[0].as_py()
-        store.write(shard, names, n=counts)
-        return pa.table({"shard": [shard], "kinds": [len(names)], "total": [int(counts.sum())]})
+def _merged(blocks: DataFrame, bits: int, run, schema: str) -> DataFrame:
+    """`run` over the blocks in the order of their shards, the shards of a file in one task; a file has `bits` of a shard's bits less."""
+    return blocks.repartition(F.shiftright("shard", bits)).sortWithinPartitions("shard").mapInArrow(run, schema)
+
+
+def _files(batches, bits: int):
+    """For sorted blocks: each file's number, and its shards with their blocks."""
+    def shards():
+        held, last = [], -1
+        for batch in batches:
+            numbers = batch.column("shard").to_numpy()
+            cuts = np.flatnonzero(np.r_[True, numbers[1:] != numbers[:-1], True]) if len(numbers) else []
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                if held and numbers[a] != last:
+                    yield last, pa.Table.from_batches(held)
+                    held = []
+                last = int(numbers[a])
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield last, pa.Table.from_batches(held)
+    return groupby(shards(), lambda shard: shard[0] >> bits)
+
+
+def _merge_words(store: SortedStore, bits: int):
+    def run(batches):
+        for file, shards in _files(batches, bits):
+            with store.appending(file, "key", "n") as add:
+                for shard, table in shards:
+                    names, counts = _fold(_joined(table, "key", np.uint64), _joined(table, "n", np.uint32).astype(np.int64))
+                    add(key=names, n=counts)
+                    yield pa.RecordBatch.from_pydict({"shard": [shard], "kinds": [len(names)], "total": [int(counts.sum())]})
     return run
 
 
@@ -153,17 +183,14 @@ def _count_pairs(words: SortedStore, firsts: np.ndarray, bits: int, width):
     return run
 
 
-def _merge_pairs(pairs: SortedStore, often: SortedStore, firsts: np.ndarray, width):
-    def run(table: pa.Table) -> pa.Table:
+def _merge_pairs(pairs: SortedStore, often: SortedStore, bits: int, firsts: np.ndarray, width):
+    def merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.RecordBatch]:
         before, now = _joined(table, "before", width), _joined(table, "now", width)
         keys, counts = pair_key(before, now), _joined(table, "n", np.uint32).astype(np.int64)
         order = np.argsort(keys)
         keys = keys[order]
         begun = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         counts, keys, at = np.add.reduceat(counts[order], begun), keys[begun], order[begun]
-        shard = table.column("shard")[0].as_py()
-        pairs.write(shard, keys, n=np.minimum(counts, 255))
-        often.write(shard, keys[counts >= 255], n=counts[counts >= 255])
         followed = _fold(before[at].astype(np.int64), *((counts == k).astype(np.int64) for k in (1, 2)), (counts > 2).astype(np.int64))
         preceded = _fold(now[at].astype(np.int64), np.ones(len(at), np.int64))
         numbers = np.concatenate([followed[0], preceded[0]])
@@ -175,25 +202,37 @@ def _merge_pairs(pairs: SortedStore, often: SortedStore, firsts: np.ndarray, wid
         seen = np.bincount(np.minimum(counts, 5), minlength=6)[1:5].tolist()
         out = {"shard": pa.array(owner[cuts[:-1]])}
         out |= {c: pa.array([v[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()) for c, v in columns.items()}
-        return pa.table(out | {"seen": pa.array([seen] + [None] * (len(cuts) - 2), pa.list_(pa.int64()))})
+        return keys, counts, pa.RecordBatch.from_pydict(out | {"seen": pa.array([seen] + [None] * (len(cuts) - 2), pa.list_(pa.int64()))})
+
+    def run(batches):
+        for file, shards in _files(batches, bits):
+            with pairs.appending(file, "key", "n") as add, often.appending(file, "key", "n") as add_often:
+                for _, table in shards:
+                    keys, counts, contexts = merged(table)
+                    add(key=keys, n=np.minimum(counts, 255))
+                    add_often(key=keys[counts >= 255], n=counts[counts >= 255])
+                    yield contexts
     return run
 
 
 _PARTS = ("one", "two", "more", "preceded")
 
 
-def _merge_contexts(words: SortedStore, firsts: np.ndarray, width):
-    def run(table: pa.Table) -> pa.Table:
-        shard = table.column("shard")[0].as_py()
-        number = _joined(table, "number", width).astype(np.int64)
-        sums = {}
-        for column in _PARTS:
-            sums[column] = np.zeros(len(words.array(shard, "key")) + 1, np.int64)
-            np.add.at(sums[column], np.where(number > 0, number - firsts[shard], 0), _joined(table, column, np.uint32).astype(np.int64))
-            put(words.file(shard, column), _narrow(sums[column][1:]))
-        seen = np.bincount(np.minimum(sums["preceded"][1:], 5), minlength=6)[1:6].tolist()
-        start = [int(sums[c][0]) for c in _PARTS[:3]]
-        return pa.table({"shard": [shard], "seen": [seen], "total": [int(sums["preceded"].sum())], "start": [start]})
+def _merge_contexts(words: SortedStore, bits: int, bounds: np.ndarray, width):
+    """`bounds`: the places of each shard's first key, and the end."""
+    def run(batches):
+        for file, shards in _files(batches, bits):
+            with words.appending(file, *_PARTS) as add:
+                for shard, table in shards:
+                    number = _joined(table, "number", width).astype(np.int64)
+                    sums = {}
+                    for column in _PARTS:
+                        sums[column] = np.zeros(bounds[shard + 1] - bounds[shard] + 1, np.int64)
+                        np.add.at(sums[column], np.where(number > 0, number - bounds[shard], 0), _joined(table, column, np.uint32).astype(np.int64))
+                    add(**{c: _narrow(v[1:]) for c, v in sums.items()})
+                    seen = np.bincount(np.minimum(sums["preceded"][1:], 5), minlength=6)[1:6].tolist()
+                    start = [int(sums[c][0]) for c in _PARTS[:3]]
+                    yield pa.RecordBatch.from_pydict({"shard": [shard], "seen": [seen], "total": [int(sums["preceded"].sum())], "start": [start]})
     return run
 
 
@@ -252,23 +291,27 @@ def train(documents: DataFrame) -> Model:
     rows, size = texts.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     root = new_path(spark, "model")
     bits = shard_bits(rows + size // 6, SHARD_ENTRIES, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
-    words = SortedStore(root, "words", bits, {"n": np.int64, **dict.fromkeys(_PARTS, np.uint32)})
-    counted = texts.mapInArrow(_count_words(bits), "shard long, key binary, n binary").groupBy("shard").applyInArrow(
-        _merge_words(words), "shard long, kinds long, total long").collect()
+    files = min(bits, FILE_BITS)
+    words = SortedStore(root, "words", files, {"n": np.int64, **dict.fromkeys(_PARTS, np.uint32)})
+    counted = _merged(texts.mapInArrow(_count_words(bits), "shard long, key binary, n binary"), bits - files,
+                      _merge_words(words, bits - files), "shard long, kinds long, total long").collect()
     kinds, total = sum(r.kinds for r in counted), sum(r.total for r in counted)
     sizes = np.zeros(1 << bits, np.int64)
     for r in counted:
         sizes[r.shard] = r.kinds
-    firsts = np.cumsum(sizes) - sizes
+    ends = np.r_[0, np.cumsum(sizes)]
+    firsts = ends[:-1:1 << (bits - files)]
     width = np.uint32 if kinds < 2**32 - 1 else np.uint64
 
-    pairs, often = SortedStore(root, "pairs", bits, {"n": np.uint8}), SortedStore(root, "often", bits, {"n": np.int64})
+    pairs, often = SortedStore(root, "pairs", files, {"n": np.uint8}), SortedStore(root, "often", files, {"n": np.int64})
+    named = min(bits, max(files, shard_bits(kinds, SHARD_ENTRIES)))  # contexts are as many as tokens, far fewer than pairs
+    bounds = ends[::1 << (bits - named)]
     schema = "shard long, number binary, " + ", ".join(f"{c} binary" for c in _PARTS)
     blocks = texts.mapInArrow(_count_pairs(words, firsts, bits, width), "shard long, n binary, before binary, now binary")
-    merged = stage(blocks.groupBy("shard").applyInArrow(_merge_pairs(pairs, often, firsts, width), schema + ", seen array<long>"), "contexts")
+    merged = stage(_merged(blocks, bits - files, _merge_pairs(pairs, often, bits - files, bounds[:-1], width), schema + ", seen array<long>"), "contexts")
     seen = merged.select(*(F.coalesce(F.sum(F.col("seen")[k]), F.lit(0)) for k in range(4))).first()
-    done = merged.drop("seen").groupBy("shard").applyInArrow(
-        _merge_contexts(words, firsts, width), "shard long, seen array<long>, total long, start array<long>").collect()
+    done = _merged(merged.drop("seen"), named - files, _merge_contexts(words, named - files, bounds, width),
+                   "shard long, seen array<long>, total long, start array<long>").collect()
     lower = [sum(r.seen[k] for r in done) for k in range(5)]
     continuations = sum(r.total for r in done)
     start = [sum(r.start[k] for r in done) for k in range(3)]

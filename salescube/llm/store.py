@@ -7,9 +7,13 @@ task writes the same bytes, so lost executors and retried tasks leave a right st
 
 from __future__ import annotations
 
+import mmap
 import os
+import sys
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import ExitStack, contextmanager
 from urllib.parse import unquote, urlparse
 
 import numpy as np
@@ -17,7 +21,10 @@ import pyarrow.fs as pafs
 
 from salescube.sources.scratch import new_path
 
-__all__ = ["SortedStore", "new_path", "put", "get", "shard_bits"]
+__all__ = ["SortedStore", "new_path", "put", "appending", "get", "shard_bits"]
+
+#: A map outlives the descriptor of its file; processes may hold far fewer descriptors than maps.
+_NO_DESCRIPTOR = {"trackfd": False} if sys.version_info >= (3, 13) else {}
 
 
 def _local(uri: str) -> str | None:
@@ -40,11 +47,42 @@ def put(uri: str, array: np.ndarray) -> None:
     os.replace(part, path)
 
 
+@contextmanager
+def appending(uri: str) -> Iterator[Callable[[np.ndarray], None]]:
+    """A function that writes one array after another into a file, which appears whole under its name in the end; last writer wins."""
+    path = _local(uri)
+    if path is not None:
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        part = f"{path}.{uuid.uuid4().hex}"
+        try:
+            with open(part, "wb") as out:
+                yield lambda array: np.ascontiguousarray(array).tofile(out)
+            os.replace(part, path)
+        finally:
+            if os.path.exists(part):
+                os.unlink(part)
+        return
+    fs, name = pafs.FileSystem.from_uri(uri)
+    with tempfile.TemporaryFile() as held:  # a stream that closes early would show a part of the file
+        yield lambda array: np.ascontiguousarray(array).tofile(held)
+        held.seek(0)
+        with fs.open_output_stream(name) as out:
+            while block := held.read(1 << 22):
+                out.write(block)
+
+
+def _mapped(path: str, dtype) -> np.ndarray:
+    if not os.path.getsize(path):
+        return np.zeros(0, dtype)
+    with open(path, "rb") as source:
+        return np.frombuffer(mmap.mmap(source.fileno(), 0, access=mmap.ACCESS_READ, **_NO_DESCRIPTOR), dtype)
+
+
 def get(uri: str, dtype) -> np.ndarray:
     """Map an array into memory. From a store that cannot be mapped it is copied to an unlinked local file first."""
     path = _local(uri)
     if path is not None:
-        return np.memmap(path, dtype, "r") if os.path.exists(path) and os.path.getsize(path) else np.zeros(0, dtype)
+        return _mapped(path, dtype) if os.path.exists(path) else np.zeros(0, dtype)
     fs, name = pafs.FileSystem.from_uri(uri)
     if fs.get_file_info(name).type == pafs.FileType.NotFound:
         return np.zeros(0, dtype)
@@ -53,7 +91,7 @@ def get(uri: str, dtype) -> np.ndarray:
             while block := source.read(1 << 22):
                 held.write(block)
         held.flush()
-        return np.memmap(held.name, dtype, "r") if os.path.getsize(held.name) else np.zeros(0, dtype)
+        return _mapped(held.name, dtype)
 
 
 def shard_bits(entries: int, per_shard: int, least: int = 1) -> int:
@@ -80,6 +118,17 @@ class SortedStore:
         for column, array in {"key": keys, **values}.items():
             put(self.file(shard, column), array.astype(np.uint64 if column == "key" else self.columns[column], copy=False))
 
+    @contextmanager
+    def appending(self, shard: int, *columns: str) -> Iterator[Callable[..., None]]:
+        """A function that takes values of these columns, run after run in the order of the keys, for one shard."""
+        with ExitStack() as files:
+            add = {c: files.enter_context(appending(self.file(shard, c))) for c in columns}
+
+            def run(**values: np.ndarray) -> None:
+                for column, array in values.items():
+                    add[column](array.astype(np.uint64 if column == "key" else self.columns[column], copy=False))
+            yield run
+
     def array(self, shard: int, column: str) -> np.ndarray:
         if (shard, column) not in self.open:
             self.open[shard, column] = get(self.file(shard, column), np.uint64 if column == "key" else self.columns[column])

@@ -1,13 +1,16 @@
 """The Spark model against a dictionary model of the same formulas."""
 
 import math
+import os
 import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from salescube.llm import ngram_lm
+from salescube.llm import ngram_lm, store
 
 TEXTS = [(i, t) for i, t in enumerate([
     "the cat sat on the mat", "The cat sat on the hat", "a dog sat\ton the log", "", None, "the the the the", "dog\x0beats cat",
@@ -91,6 +94,46 @@ def test_small_blocks_give_the_same(spark, tmp_path, monkeypatch):
     assert all(r.score == pytest.approx(want[i][4]) for i, r in _scored(spark, TEXTS, tmp_path).items())
 
 
+def test_files_of_several_shards_give_the_same(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ngram_lm, "FOLD", 5)
+    monkeypatch.setattr(ngram_lm, "SHARD_ENTRIES", 3)
+    monkeypatch.setattr(ngram_lm, "FILE_BITS", 1)
+    want, _ = brute(TEXTS)
+    for doc_id, r in _scored(spark, TEXTS, tmp_path).items():
+        assert (r.n_known, r.train_tokens) == want[doc_id][1:3]
+        assert r.base_score == pytest.approx(want[doc_id][3]) and r.score == pytest.approx(want[doc_id][4])
+
+
+def test_scoring_holds_few_files_whatever_the_number_of_shards(spark, monkeypatch):
+    monkeypatch.setattr(ngram_lm, "SHARD_ENTRIES", 1)
+    rows = [(k, " ".join(f"w{k * 100 + i}" for i in range(100))) for k in range(20)]
+    model = ngram_lm.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    texts = pa.array([text for _, text in rows])
+    held = len(os.listdir("/proc/self/fd"))
+    now, before, _ = ngram_lm._pair_lists(np.frombuffer(texts.buffers()[2], np.uint8), np.frombuffer(texts.buffers()[1], np.int32).astype(np.int64))
+    logs, counts = model.log10(now, before)
+    assert counts.tolist() == [1 if i % 101 < 100 else 20 for i in range(2020)] and np.isfinite(logs).all()
+    assert len(model.words.open) + len(model.pairs.open) + len(model.often.open) <= 10 * 256
+    assert len(os.listdir("/proc/self/fd")) <= held + 10
+
+
+@pytest.mark.parametrize("mounted", [True, False])
+def test_a_file_appears_when_all_its_runs_are_written(tmp_path, monkeypatch, mounted):
+    if not mounted:
+        monkeypatch.setattr(store, "_local", lambda uri: None)
+    kept = store.SortedStore(str(tmp_path), "s", 0, {"n": np.int64})
+    with pytest.raises(KeyError), kept.appending(0, "key", "n") as add:
+        add(key=np.arange(3, dtype=np.uint64), n=np.arange(3))
+        raise KeyError
+    assert not os.listdir(tmp_path)
+    with kept.appending(0, "key", "n") as add:
+        for run in (range(3), range(0), range(3, 7)):
+            add(key=np.array(run, np.uint64), n=np.array(run) * 2)
+    assert len(os.listdir(tmp_path)) == 2
+    found, values = kept.find(np.array([0, 2, 3, 6, 9], np.uint64))
+    assert found.tolist() == [True] * 4 + [False] and values["n"].tolist() == [0, 4, 6, 12, 0]
+
+
 def test_empty_table_and_other_columns(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, score string")
     model = ngram_lm.train(empty)
